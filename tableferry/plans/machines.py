@@ -28,10 +28,10 @@ MACHINE_SOURCES = {
 
 def products_in_use(products: Column | str) -> Column:
     """Map of products to an array of those with files or licenses; a missing app flag reads false."""
-    return filter_elements(
-        F.transform(map_to_array(products), lambda p: struct_defaults(p, {"nglapp": False})),
-        lambda p: non_empty(p["files"]) | non_empty(p["licenses"]),
+    used = filter_elements(
+        map_to_array(products), lambda p: non_empty(p["files"]) | non_empty(p["licenses"])
     )
+    return F.transform(used, lambda p: struct_defaults(p, {"nglapp": False}))
 
 
 def machine_snapshot(

@@ -11,7 +11,7 @@ from operator import and_, or_
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..operators.incremental import RUN_COLUMNS, run_date
 from ..operators.keyed import Order, upsert
@@ -37,6 +37,17 @@ def _sized(df: DataFrame, by: Sequence[str], max_files: int | None) -> DataFrame
     return df.hint("rebalance", *[F.col(c) for c in by])
 
 
+def _spread_column(df: DataFrame) -> list[str]:
+    """A plain column to rebalance a single run by.
+
+    Hashing a column needs no sort and sends a retried row to the same task,
+    where a round-robin spread has to sort all rows for that. Uneven values do
+    no harm: a rebalance splits large partitions.
+    """
+    nested = (ArrayType, MapType, StructType)
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)][:1]
+
+
 def read_partitions(
     spark: SparkSession, path: str, schema: StructType | str, base_path: str | None = None
 ) -> DataFrame:
@@ -77,12 +88,14 @@ def replace_run(
     are counted while they are written. Run columns ``df`` may carry are
     dropped: the directory states them.
     """
+    df = df.drop(*RUN_COLUMNS)
     sequence = str(run_sequence)
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", sequence):
         raise ValueError(f"run_sequence is used as a directory name: {sequence!r}")
     counted = Observation()
     (
-        _sized(df.drop(*RUN_COLUMNS), [], max_files)
+        _sized(df, _spread_column(df), max_files)
+        # counted after the exchange: a write task counts once, a retried map task might not
         .observe(counted, F.count(F.lit(1)).alias("n_rows"))
         .write.mode("overwrite")
         .option("compression", "snappy")

@@ -213,7 +213,7 @@ def table_append(spark, sf_dir):
     """
 SELECT event_id, user_id, event_type,
   CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN value * 2 ELSE value END AS value,
-  strftime(ts, '%Y-%m-%d') AS insert_date, event_type AS run_sequence
+  strftime(ts, '%Y-%m-%d') AS insert_date, '1' AS run_sequence
 FROM events
 """
 )
@@ -227,7 +227,7 @@ def partition_rerun(spark, sf_dir):
         "event_type",
         "value",
         F.date_format("ts", "yyyy-MM-dd").alias("insert_date"),
-        F.col("event_type").alias("run_sequence"),
+        F.lit("1").alias("run_sequence"),
     )
     write_partitions(stamped, path)
     later = stamped.filter(F.col("insert_date") >= "2024-01-15")
@@ -603,7 +603,7 @@ COHORT_CTE = cte("cohorts", A.cohort_source("duck"), "orders")
        f"{cohort_checksum_sql('|')} AS separated FROM cohorts")
 def checksum_nested(spark, sf_dir):
     """Row checksum over scalars, arrays and maps, without and with a separator."""
-    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"))
+    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"), spread=True)
     return source.select(
         "cohort_id",
         row_checksum(source, CHECKSUM_COLUMNS).alias("checksum"),
@@ -646,8 +646,9 @@ SYNC_CTES = ",\n".join(
 
 
 def cohort_sides(spark, sf_dir):
-    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"))
-    target = cohort_rows(A.derive(spark, sf_dir, "orders", A.cohort_target_source("spark")))
+    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"), spread=True)
+    earlier = A.derive(spark, sf_dir, "orders", A.cohort_target_source("spark"), spread=True)
+    target = cohort_rows(earlier)
     return source, target
 
 
@@ -724,6 +725,10 @@ def high_water_text(spark, sf_dir):
 MACHINE_CTE = cte("machines", A.machine_source("duck"), "lineitem")
 
 
+def machines_of(spark, sf_dir, spread=False):
+    return A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"), spread)
+
+
 @query(
     f"""WITH {MACHINE_CTE}, mark AS (
 SELECT greatest({", ".join(f"max({c})" for c in ACTIVITY_TIMES)}) AS max_time FROM machines)
@@ -731,7 +736,7 @@ SELECT max_time, epoch_ms(max_time) AS max_time_ms FROM mark"""
 )
 def high_water_multi(spark, sf_dir):
     """High-water mark over several columns."""
-    return flat(machine_mark(A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))))
+    return flat(machine_mark(machines_of(spark, sf_dir)))
 
 
 EPOCH_SQL = "TIMESTAMP '1970-01-01'"
@@ -741,7 +746,7 @@ NEWEST_SQL = f"greatest({', '.join(f'coalesce({c}, {EPOCH_SQL})' for c in ACTIVI
 @query(f"WITH {MACHINE_CTE} SELECT suid, {NEWEST_SQL} AS newest FROM machines")
 def newest_activity(spark, sf_dir):
     """Row-wise newest of four times, nulls as the epoch."""
-    machines = A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))
+    machines = machines_of(spark, sf_dir)
     floor = time_literal(0, machines.schema[ACTIVITY_TIMES[0]].dataType)
     return machines.select("suid", newest_of(ACTIVITY_TIMES, floor).alias("newest"))
 
@@ -750,7 +755,7 @@ def newest_activity(spark, sf_dir):
        f"AND {NEWEST_SQL} < TIMESTAMP '1998-06-01' - INTERVAL 24 HOURS")
 def newest_window(spark, sf_dir):
     """Window over the newest of four times; a row without any counts as the epoch."""
-    machines = A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))
+    machines = machines_of(spark, sf_dir)
     return between_marks(machines, ACTIVITY_TIMES, "1969-12-31", "1998-06-01").select("suid")
 
 
@@ -833,7 +838,7 @@ MACHINE_WINDOW = (
 
 
 def machine_window_rows(spark, sf_dir):
-    machines = A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))
+    machines = machines_of(spark, sf_dir, spread=True)
     return machine_snapshot(machines, "2024-02-01", low="1994-01-01", as_of="2000-06-01")
 
 
@@ -872,7 +877,7 @@ FROM products"""
 )
 def machine_products(spark, sf_dir):
     """Products in use, one row each: map to array, default inside the struct, element filter."""
-    machines = A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))
+    machines = machines_of(spark, sf_dir, spread=True)
     rows = machines.select("suid", F.explode(products_in_use("leids")).alias("p"))
     return rows.select(
         "suid",
@@ -894,7 +899,7 @@ FROM machines"""
 )
 def struct_flatten(spark, sf_dir):
     """Children of a struct as columns; a null struct gives nulls and the default."""
-    machines = A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))
+    machines = machines_of(spark, sf_dir)
     return flatten_struct(
         machines.select("suid", "clientupdateinfo"),
         "clientupdateinfo",
@@ -911,7 +916,7 @@ FROM machines"""
 )
 def struct_by_name(spark, sf_dir):
     """Structs inside a map brought to another field list by name."""
-    machines = A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))
+    machines = machines_of(spark, sf_dir, spread=True)
     target = StructType.fromDDL("m map<string,struct<nglapp boolean, leid string, added int>>")
     shaped = reshape(F.col("leids"), machines.schema["leids"].dataType, target["m"].dataType)
     return flat(machines.select("suid", F.map_values(shaped).alias("leids")))
