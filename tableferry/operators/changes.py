@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators.keyed import membership_keys
-from ..operators.quality import require
+from .keyed import membership_keys
+from .quality import require
 
 
 def changed_rows(
@@ -22,4 +22,4 @@ def changed_rows(
     """
     keys = list(keys)
     known = require(tgt.select(*keys), keys) if target_unique else membership_keys(tgt, keys)
-    return src.join(known, keys, "left_anti")
+    return src.join(known, keys, "left_anti").select(*src.columns)

@@ -68,12 +68,13 @@ def keep_keys(
 
     Same rows as an inner join with the distinct list. Null keys never match.
     ``keys_unique`` states that ``keys_df`` holds each key once, which saves
-    the copy removal. Spark broadcasts the list when its measured size is under
+    the copy removal; use it for a stored table, not for the output of a
+    ``distinct`` (see ``membership_keys``). Spark broadcasts the list when its measured size is under
     the session's broadcast threshold and shuffles both sides otherwise.
     """
     on = [on] if isinstance(on, str) else list(on)
     wanted = require(keys_df.select(*on), on) if keys_unique else membership_keys(keys_df, on)
-    return df.join(wanted, on, "left_semi")
+    return df.join(wanted, on, "left_semi").select(*df.columns)
 
 
 def sort_for_load(df: DataFrame, order: Order, global_: bool = True) -> DataFrame:

@@ -31,6 +31,6 @@ def write_table(df: DataFrame, fmt: str, options: Mapping[str, str] | None = Non
     """
     options = dict(options or {})
     if fmt == "table":
-        df.writeTo(options["name"]).append()
+        df.write.mode("append").saveAsTable(options["name"])
     else:
         df.write.format(fmt).options(**options).mode("append").save()
