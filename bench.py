@@ -18,30 +18,30 @@ from verification.queries import QUERIES
 
 HEADLINE = [
     "tree_scan",
-    "union_tables",
-    "tree_roundtrip",
+    "union_all",
+    "seed_readback",
     "partition_rerun",
     "run_metadata",
-    "null_counts",
+    "null_audit",
     "time_buckets",
     "ts_load",
     "ts_load_sorted",
     "sorted_load",
     "current_value",
     "latest_order",
-    "tag_list",
+    "key_list",
     "daily_by_keys",
     "hourly_by_keys",
     "upsert_ignore_nulls",
     "upsert_broadcast",
     "ts_merge",
-    "checksum_scalars",
+    "row_checksum",
     "checksum_nested",
     "sync_changed",
     "sync_upsert",
     "changed_with_copies",
     "incremental_window",
-    "high_water_text",
+    "high_water",
     "high_water_multi",
     "newest_window",
     "audit_export",

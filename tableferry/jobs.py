@@ -64,6 +64,7 @@ def _deliver(spark: SparkSession, df: DataFrame, args: argparse.Namespace) -> No
             by=_names(args.partition_by),
             order_by=order,
             new_unique=order is None,
+            broadcast_rows=args.broadcast_rows,
         )
     else:
         write_table(df, args.target_format, options)
@@ -163,6 +164,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--target-option", action="append", metavar="KEY=VALUE")
         sub.add_argument("--keys", help="merge into parquet by these columns (comma list)")
         sub.add_argument("--partition-by", help="partition columns of the merge, part of the keys")
+        sub.add_argument("--broadcast-rows", type=int, default=0, help="broadcast the new side up to so many rows")
         sub.add_argument("--order", help="which of several new rows of a key wins: column:asc|desc,...")
 
     def sort(sub):

@@ -121,7 +121,8 @@ def upsert(
     A full outer join shuffles all of ``old``. With ``broadcast_rows`` set, the
     rows of ``new`` are counted up to that bound (one job); within it, ``new``
     is broadcast and ``old`` is never shuffled, beyond it the full join is used.
-    Choose the bound by row width, and pass a ``new`` that is cheap to read.
+    Choose the bound by row width. ``new`` is read several times then: pass a
+    stored table (``sources.stage``).
     """
     keys = list(keys)
     if order_by is None and not new_unique:

@@ -8,7 +8,7 @@ from .runs import (
     replace_run,
     write_partitions,
 )
-from .scratch import scratch_path
+from .scratch import scratch_path, stage
 from .tables import read_table, write_table
 from .tree import read_tree, write_tree
 
@@ -23,6 +23,7 @@ __all__ = [
     "record_run",
     "replace_run",
     "scratch_path",
+    "stage",
     "write_partitions",
     "write_table",
     "write_tree",

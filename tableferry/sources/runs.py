@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..operators.incremental import RUN_COLUMNS, run_date
 from ..operators.keyed import Order, upsert
+from .scratch import stage
 
 # Fixed value: most output files of a run in a bounded write.
 MAX_FILES = 100
@@ -154,14 +155,16 @@ def merge_partitions(
     order_by: Order | None = None,
     ignore_nulls: bool = True,
     new_unique: bool = False,
+    broadcast_rows: int = 0,
     max_partitions_listed: int = 1000,
 ) -> None:
     """Upsert ``new`` into a partitioned parquet table, rewriting only partitions it touches.
 
     The partition columns must be part of the key, so that a row never moves
-    between partitions. The touched partition values are listed on the driver
-    up to ``max_partitions_listed``; with more of them the old side is read
-    whole, which gives the same rows.
+    between partitions. ``new`` is staged first: the partitions it touches are
+    listed from the same rows that are merged, even if its source goes on
+    changing. They are listed on the driver up to ``max_partitions_listed``;
+    with more of them the old side is read whole, which gives the same rows.
     """
     if not set(by) <= set(keys):
         raise ValueError("the partition columns must be part of the key")
@@ -171,8 +174,11 @@ def merge_partitions(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         old = spark.createDataFrame([], schema)
+    new, n_rows = stage(new, "merge")
+    if not n_rows:
+        return
     touched = _touched(new, by, max_partitions_listed)
     if touched is not None:
         old = old.filter(touched)
-    merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique)
+    merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique, broadcast_rows)
     write_partitions(merged, path, by)

@@ -5,18 +5,32 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Where that is unset, a machine-local folder is used, and only by a local
-    session: executors on other machines could not read it.
+    A checkpoint folder set on the running context serves as well. Where both
+    are unset, a machine-local folder is used, and only by a local session:
+    executors on other machines could not read it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="tableferry-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write a table to scratch once; its stored form and row count.
+
+    For a table that is read several times and must be the same each time. The
+    stored form has no lineage to recompute when executors are lost. The folder
+    is left to the retention of the checkpoint folder.
+    """
+    path, counted = scratch_path(df.sparkSession, name), Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("n_rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["n_rows"]

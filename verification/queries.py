@@ -77,10 +77,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        ORACLES[fn.__name__] = sql
+        QUERIES[name or fn.__name__] = fn
+        ORACLES[name or fn.__name__] = sql
         return fn
 
     return register
@@ -183,13 +183,13 @@ def union_parts(spark, sf_dir):
     return [events, orders, measure("quantity", "l_quantity", 1), measure("price", "l_extendedprice", 3)]
 
 
-@query(UNION_PARTS)
+@query(UNION_PARTS, name="union_all")
 def union_tables(spark, sf_dir):
     """All rows of four tables, matched by name."""
     return union_all(union_parts(spark, sf_dir))
 
 
-@query(UNION_PARTS)
+@query(UNION_PARTS, name="seed_readback")
 def tree_roundtrip(spark, sf_dir):
     """The four tables united, written as a new tree, and read back with a declared schema."""
     path = scratch_path(spark, "tree")
@@ -279,7 +279,8 @@ NULL_COLUMNS = ["tag_id", "data_quality", "event_time", "event_value", "event_id
     + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null FROM readings"
         for c in NULL_COLUMNS
-    )
+    ),
+    name="null_audit",
 )
 def null_counts(spark, sf_dir):
     """Null audit of every column in one pass."""
@@ -402,7 +403,7 @@ def latest_order(spark, sf_dir):
     return latest_per_key(orders, ["o_custkey"], [("o_orderdate", "desc"), ("o_orderkey", "asc")])
 
 
-@query(f"WITH {READINGS_CTE} SELECT DISTINCT tag_id FROM readings WHERE tag_id IS NOT NULL")
+@query(f"WITH {READINGS_CTE} SELECT DISTINCT tag_id FROM readings WHERE tag_id IS NOT NULL", name="key_list")
 def tag_list(spark, sf_dir):
     return key_list(A.derive(spark, sf_dir, "events", A.READINGS), "tag_id")
 
@@ -575,7 +576,8 @@ EVENT_CHECKSUM_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "p
 @query(
     "SELECT event_id, md5(concat("
     + ", ".join(f"coalesce(CAST({c} AS varchar), '')" for c in EVENT_CHECKSUM_COLUMNS)
-    + ")) AS checksum FROM events"
+    + ")) AS checksum FROM events",
+    name="row_checksum",
 )
 def checksum_scalars(spark, sf_dir):
     """Row checksum over scalar columns."""
@@ -712,7 +714,8 @@ WITH logged AS (SELECT CASE WHEN event_type = 'error' THEN 'no time' ELSE
 SELECT max(try_strptime(event_time, '%Y-%m-%d %H:%M:%S.%g')) AS max_time,
   epoch_ms(max(try_strptime(event_time, '%Y-%m-%d %H:%M:%S.%g'))) AS max_time_ms
 FROM logged
-"""
+""",
+    name="high_water",
 )
 def high_water_text(spark, sf_dir):
     """High-water mark of a text column; text that is no time is passed over."""
