@@ -1,6 +1,5 @@
 from .runs import (
     AUDIT_SCHEMA,
-    MAX_FILES,
     export_run,
     merge_partitions,
     read_partitions,
@@ -14,7 +13,6 @@ from .tree import read_tree, write_tree
 
 __all__ = [
     "AUDIT_SCHEMA",
-    "MAX_FILES",
     "export_run",
     "merge_partitions",
     "read_partitions",

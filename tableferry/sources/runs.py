@@ -17,9 +17,6 @@ from ..operators.incremental import RUN_COLUMNS, run_date
 from ..operators.keyed import Order, upsert
 from .scratch import stage
 
-# Fixed value: most output files of a run in a bounded write.
-MAX_FILES = 100
-
 AUDIT_SCHEMA = (
     "table_name string, database_name string, insert_date string, run_sequence string, n_rows bigint"
 )
