@@ -12,6 +12,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators import require
 from .plans import (
     audit_events,
     audit_mark,
@@ -28,7 +29,7 @@ from .plans import (
 )
 from .plans.schemas import READINGS, TAGS
 from .plans.series import SINCE
-from .session import build_session
+from .session import build_session, shuffle_width
 from .sources import (
     export_run,
     merge_partitions,
@@ -55,6 +56,8 @@ def _deliver(spark: SparkSession, df: DataFrame, args: argparse.Namespace) -> No
     options = _options(args.target_option)
     if args.keys:
         order = [tuple(entry.split(":", 1)) for entry in _names(args.order)] or None
+        if args.drop_null_keys:
+            df = require(df, _names(args.keys))
         merge_partitions(
             spark,
             df,
@@ -144,6 +147,7 @@ def mark_machines(spark: SparkSession, args: argparse.Namespace) -> None:
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tableferry.jobs")
     parser.add_argument("--master", help="left to the launcher unless given")
+    parser.add_argument("--largest-shuffle-gb", type=float, help="sizes the shuffles of the job")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(run, *groups):
@@ -164,6 +168,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--target-option", action="append", metavar="KEY=VALUE")
         sub.add_argument("--keys", help="merge into parquet by these columns (comma list)")
         sub.add_argument("--partition-by", help="partition columns of the merge, part of the keys")
+        sub.add_argument("--drop-null-keys", action="store_true", help="null keys fail the merge otherwise")
         sub.add_argument("--broadcast-rows", type=int, default=0, help="broadcast the new side up to so many rows")
         sub.add_argument("--order", help="which of several new rows of a key wins: column:asc|desc,...")
 
@@ -207,7 +212,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    args.run(build_session(f"tableferry {args.job}", args.master), args)
+    width = args.largest_shuffle_gb and shuffle_width(args.largest_shuffle_gb)
+    args.run(build_session(f"tableferry {args.job}", args.master, width), args)
 
 
 if __name__ == "__main__":

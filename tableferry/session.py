@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
-    # year/month buckets and epoch days must agree at midnight
-    "spark.sql.session.timeZone": "UTC",
+# year/month buckets and epoch days must agree at midnight
+FIXED = {"spark.sql.session.timeZone": "UTC"}
+
+# Used where the launcher does not say otherwise.
+PREFERRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.parquet.filterPushdown": "true",
 }
+ON_A_CLUSTER = {"spark.sql.files.maxPartitionBytes": "512m"}
+LOCAL = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+
+
+def shuffle_width(largest_shuffle_gb: float, partition_gb: float = 1.0) -> int:
+    """Shuffle partitions for the largest shuffle of a job.
 
-# Shuffles start this wide on a cluster; adaptive execution merges what is small.
-CLUSTER_SHUFFLE_PARTITIONS = 8000
+    About a gigabyte each: adaptive execution joins what turns out small, but
+    splits only joins and rebalances, so starting too narrow cannot be mended.
+    """
+    return int(min(100_000, max(200, largest_shuffle_gb / partition_gb)))
 
 
 def build_session(
@@ -24,18 +33,22 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session for a job; ``master`` is left to the launcher unless given."""
+    """A session for a job; the master and all but the time zone can be left to the launcher."""
     builder = SparkSession.builder.appName(app_name)
-    local = master is not None and master.startswith("local")
+    start = {**(LOCAL if master and master.startswith("local") else {}), **(extra or {})}
     if master is not None:
         builder = builder.master(master)
-    width = shuffle_partitions or (8 if local else CLUSTER_SHUFFLE_PARTITIONS)
-    settings = {
-        **SETTINGS,
-        "spark.sql.shuffle.partitions": str(width),
-        **({"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"} if local else {}),
-        **(extra or {}),
-    }
-    for name, value in settings.items():
+    for name, value in start.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+
+    given = spark.sparkContext.getConf()
+    local = given.get("spark.master", "").startswith("local")
+    preferred = {**PREFERRED, **({"spark.sql.shuffle.partitions": "8"} if local else ON_A_CLUSTER)}
+    settings = {k: v for k, v in preferred.items() if not given.contains(k)}
+    settings.update(FIXED)
+    if shuffle_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    return spark

@@ -161,7 +161,8 @@ def merge_partitions(
     between partitions. ``new`` is staged first: the partitions it touches are
     listed from the same rows that are merged, even if its source goes on
     changing. They are listed on the driver up to ``max_partitions_listed``;
-    with more of them the old side is read whole, which gives the same rows.
+    with more of them the old side is read whole, which gives the same rows. A
+    first load goes straight to the write.
     """
     if not set(by) <= set(keys):
         raise ValueError("the partition columns must be part of the key")
@@ -170,7 +171,10 @@ def merge_partitions(
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        old = spark.createDataFrame([], schema)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        first = upsert(new.limit(0).select(*nothing), new, keys, order_by, ignore_nulls, new_unique)
+        write_partitions(first, path, by)
+        return
     new, n_rows = stage(new, "merge")
     if not n_rows:
         return

@@ -98,3 +98,25 @@ def test_sync_cohorts_into_parquet(spark, tmp_path):
         ("s2", "2024-02-02"),
         ("s3", "2024-02-02"),
     ]
+
+
+def test_null_keys_fail_the_merge_unless_dropped(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    data = [("a.1", 1, None, 1.0), ("a.2", 1, dt.datetime(2023, 6, 28), 1.0)]
+    spark.createDataFrame(data, READINGS).write.parquet(str(tmp_path / "in"))
+    command = [
+        "load-series", "--path", str(tmp_path / "in"), "--target-option", f"path={tmp_path}/out",
+        "--keys", "tag_id,data_quality,event_time,yyyymm", "--partition-by", "yyyymm",
+    ]
+    with pytest.raises(PySparkException, match="null in key column"):
+        main(command)
+    main([*command, "--drop-null-keys"])
+    assert [r.tag_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["a.2"]
+
+
+def test_shuffle_width():
+    from tableferry.session import shuffle_width
+
+    assert [shuffle_width(gb) for gb in (0.1, 5000, 100_000, 1_000_000)] == [200, 5000, 100_000, 100_000]

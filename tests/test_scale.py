@@ -137,6 +137,14 @@ def test_hot_key_is_split_in_change_detection(facts, keys, conf, final_plan):
     assert changed.filter("tag_id = 'hot'").count() == 100000
 
 
+def test_rows_without_a_key_are_split_in_change_detection(facts, keys, conf, final_plan):
+    conf(SMALL_SKEW)
+    unset = facts.withColumn("tag_id", F.expr("CASE WHEN tag_id <> 'hot' THEN tag_id END"))
+    changed = changed_rows(unset, keys, ["tag_id"])
+    assert "SortMergeJoin(skew=true)" in final_plan(changed)
+    assert changed.filter("tag_id IS NULL").count() == 100000
+
+
 def test_copies_of_a_key_do_not_cross_the_join(keys, conf):
     conf(NO_BROADCAST)
     assert membership_keys(keys, ["tag_id"]).filter("tag_id = 'hot'").count() <= 8
