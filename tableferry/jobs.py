@@ -13,6 +13,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import require
+from .operators.keyed import Order
 from .plans import (
     audit_events,
     audit_mark,
@@ -28,7 +29,7 @@ from .plans import (
     readings_audit,
 )
 from .plans.schemas import READINGS, TAGS
-from .plans.series import SINCE
+from .plans.series import LOAD_ORDER, SINCE
 from .session import build_session, shuffle_width
 from .sources import (
     export_run,
@@ -51,7 +52,9 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_table(spark, args.source_format, _options(args.source_option))
 
 
-def _deliver(spark: SparkSession, df: DataFrame, args: argparse.Namespace) -> None:
+def _deliver(
+    spark: SparkSession, df: DataFrame, args: argparse.Namespace, order_within: Order = ()
+) -> None:
     """Append to a keyed store, or merge into a partitioned parquet table when keys are given."""
     options = _options(args.target_option)
     if args.keys:
@@ -68,6 +71,7 @@ def _deliver(spark: SparkSession, df: DataFrame, args: argparse.Namespace) -> No
             order_by=order,
             new_unique=order is None,
             broadcast_rows=args.broadcast_rows,
+            order_within=order_within,
         )
     else:
         write_table(df, args.target_format, options)
@@ -77,7 +81,8 @@ def load_series(spark: SparkSession, args: argparse.Namespace) -> None:
     readings = read_tree(spark, args.path, READINGS)
     for line in readings_audit(readings).collect():  # one line per column
         print(json.dumps(line.asDict()))
-    _deliver(spark, raw_series(readings, sort=args.sort), args)
+    sort = None if args.keys else args.sort  # a merge orders its files when it writes them
+    _deliver(spark, raw_series(readings, sort), args, order_within=LOAD_ORDER)
 
 
 def load_current(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -133,7 +138,10 @@ def export_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def sync_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
     target = read_table(spark, args.target_format, _options(args.target_option))
-    _deliver(spark, cohort_changes(_source(spark, args), target, _names(args.exclude)), args)
+    changes = cohort_changes(
+        _source(spark, args), target, _names(args.exclude), few_rows=args.broadcast_rows
+    )
+    _deliver(spark, changes, args)
 
 
 def mark_audit(spark: SparkSession, args: argparse.Namespace) -> None:

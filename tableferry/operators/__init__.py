@@ -1,4 +1,4 @@
-from .changes import changed_rows
+from .changes import changed_rows, pick_rows
 from .incremental import between_marks, high_water, run_audit, run_date, stamp_run
 from .keyed import keep_keys, key_list, latest_per_key, membership_keys, sort_for_load, upsert
 from .quality import defaults, null_audit, null_rows, require
@@ -17,6 +17,7 @@ __all__ = [
     "membership_keys",
     "null_audit",
     "null_rows",
+    "pick_rows",
     "project",
     "require",
     "run_audit",

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .keyed import membership_keys
 from .quality import require
@@ -23,3 +27,13 @@ def changed_rows(
     keys = list(keys)
     known = require(tgt.select(*keys), keys) if target_unique else membership_keys(tgt, keys)
     return src.join(known, keys, "left_anti").select(*src.columns)
+
+
+def pick_rows(df: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys are in ``few``, a null equal to a null, without a shuffle of ``df``.
+
+    ``few`` is broadcast: pass a table whose row count was checked.
+    """
+    wanted = F.broadcast(few.select(*[F.col(k).alias(f"__few_{k}") for k in keys]))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__few_{k}")) for k in keys])
+    return df.join(wanted, same, "left_semi")

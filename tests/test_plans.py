@@ -178,14 +178,20 @@ def test_cohort_rows(cohorts):
     assert {r.suid for r in cohort_rows(cohorts).collect()} == {"a", "b", "test", None}
 
 
-def test_cohort_changes(cohorts):
+@pytest.mark.parametrize("few_rows", [0, 1, 100])
+def test_cohort_changes(cohorts, few_rows):
+    def changes(source, target, exclude=()):
+        return cohort_changes(source, target, exclude, few_rows=few_rows)
+
     target = cohort_rows(cohorts)
-    assert [r.suid for r in cohort_changes(cohorts, target).collect()] == [None]
+    assert [r.suid for r in changes(cohorts, target).collect()] == [None]
     moved = cohorts.withColumn(
         "launch_date", F.when(F.col("suid") == "b", "2030-01-01").otherwise(F.col("launch_date"))
     )
-    assert {r.suid for r in cohort_changes(moved, target, ["test"]).collect()} == {"b"}
-    assert {r.suid for r in cohort_changes(cohorts, target.limit(0), ["test"]).collect()} == {"a", "b"}
+    assert {r.suid for r in changes(moved, target, ["test"]).collect()} == {"b"}
+    both = changes(cohorts.unionAll(cohorts), target.limit(0), ["test"])
+    assert both.columns == target.columns
+    assert sorted(r.suid for r in both.collect()) == ["a", "a", "b", "b"]
 
 
 def test_disabled_cohorts(spark):

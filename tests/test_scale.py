@@ -11,6 +11,7 @@ from tableferry.operators import (
     latest_per_key,
     membership_keys,
     null_audit,
+    pick_rows,
     require,
     upsert,
 )
@@ -137,6 +138,12 @@ def test_hot_key_is_split_in_change_detection(facts, keys, conf, final_plan):
     assert changed.filter("tag_id = 'hot'").count() == 100000
 
 
+def test_few_changes_move_no_wide_rows(facts, first_plan):
+    few = facts.filter("id < 30").select("tag_id", "id")
+    plan = first_plan(pick_rows(facts, few, ["tag_id", "id"]))
+    assert "BroadcastHashJoin" in plan and "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
 def test_rows_without_a_key_are_split_in_change_detection(facts, keys, conf, final_plan):
     conf(SMALL_SKEW)
     unset = facts.withColumn("tag_id", F.expr("CASE WHEN tag_id <> 'hot' THEN tag_id END"))

@@ -661,6 +661,13 @@ def sync_changed(spark, sf_dir):
     return flat(cohort_changes(source, target, EXCLUDED))
 
 
+@query(f"WITH {SYNC_CTES} SELECT {flat_sql(column_types(COHORT_TARGET), {})} FROM changed")
+def sync_changed_narrow(spark, sf_dir):
+    """The same rows, found by comparing ids and checksums alone and picked from a second scan."""
+    source, target = cohort_sides(spark, sf_dir)
+    return flat(cohort_changes(source, target, EXCLUDED, few_rows=1_000_000))
+
+
 @query(
     f"""WITH {SYNC_CTES}, state AS (
 SELECT * FROM changed WHERE suid IS NOT NULL
