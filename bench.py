@@ -38,6 +38,7 @@ HEADLINE = [
     "row_checksum",
     "checksum_nested",
     "sync_changed",
+    "sync_changed_narrow",
     "sync_upsert",
     "changed_with_copies",
     "incremental_window",
@@ -48,6 +49,7 @@ HEADLINE = [
     "export_runs",
     "flag_export",
     "machine_export",
+    "machine_nested",
     "machine_products",
 ]
 

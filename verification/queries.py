@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +80,12 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name or fn.__name__] = fn
+        @functools.wraps(fn)
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name or fn.__name__] = in_utc
         ORACLES[name or fn.__name__] = sql
         return fn
 
