@@ -49,7 +49,6 @@ HEADLINE = [
     "export_runs",
     "flag_export",
     "machine_export",
-    "machine_nested",
     "machine_products",
 ]
 

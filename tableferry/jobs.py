@@ -70,7 +70,7 @@ def _deliver(
             by=_names(args.partition_by),
             order_by=order,
             new_unique=order is None,
-            broadcast_rows=args.broadcast_rows,
+            broadcast_bytes=args.broadcast_mb << 20,
             order_within=order_within,
         )
     else:
@@ -139,7 +139,7 @@ def export_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
 def sync_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
     target = read_table(spark, args.target_format, _options(args.target_option))
     changes = cohort_changes(
-        _source(spark, args), target, _names(args.exclude), few_rows=args.broadcast_rows
+        _source(spark, args), target, _names(args.exclude), broadcast_bytes=args.broadcast_mb << 20
     )
     _deliver(spark, changes, args)
 
@@ -177,7 +177,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--keys", help="merge into parquet by these columns (comma list)")
         sub.add_argument("--partition-by", help="partition columns of the merge, part of the keys")
         sub.add_argument("--drop-null-keys", action="store_true", help="null keys fail the merge otherwise")
-        sub.add_argument("--broadcast-rows", type=int, default=0, help="broadcast the new side up to so many rows")
+        sub.add_argument("--broadcast-mb", type=int, default=0, help="broadcast new rows up to this size")
         sub.add_argument("--order", help="which of several new rows of a key wins: column:asc|desc,...")
 
     def sort(sub):

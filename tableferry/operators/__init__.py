@@ -1,6 +1,14 @@
 from .changes import changed_rows, pick_rows
 from .incremental import between_marks, high_water, run_audit, run_date, stamp_run
-from .keyed import keep_keys, key_list, latest_per_key, membership_keys, sort_for_load, upsert
+from .keyed import (
+    keep_keys,
+    key_list,
+    latest_per_key,
+    measured_bytes,
+    membership_keys,
+    sort_for_load,
+    upsert,
+)
 from .quality import defaults, null_audit, null_rows, require
 from .shape import conform, flatten_struct, project, union_all
 
@@ -14,6 +22,7 @@ __all__ = [
     "keep_keys",
     "key_list",
     "latest_per_key",
+    "measured_bytes",
     "membership_keys",
     "null_audit",
     "null_rows",

@@ -32,7 +32,7 @@ def changed_rows(
 def pick_rows(df: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose keys are in ``few``, a null equal to a null, without a shuffle of ``df``.
 
-    ``few`` is broadcast: pass a table whose row count was checked.
+    ``few`` is broadcast: pass a table whose size was measured.
     """
     wanted = F.broadcast(few.select(*[F.col(k).alias(f"__few_{k}") for k in keys]))
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__few_{k}")) for k in keys])

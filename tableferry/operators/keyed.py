@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from .quality import require
 
@@ -87,6 +88,18 @@ def sort_for_load(df: DataFrame, order: Order, global_: bool = True) -> DataFram
     return df.orderBy(*cols) if global_ else df.sortWithinPartitions(*cols)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table's values: text by its length, nested values by their JSON, others 8 bytes."""
+    size = F.lit(0)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            size += F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0))
+        size += F.lit(8)
+    return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+
+
 def _refuse_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns(
         {
@@ -106,7 +119,7 @@ def upsert(
     order_by: Order | None = None,
     ignore_nulls: bool = True,
     new_unique: bool = False,
-    broadcast_rows: int = 0,
+    broadcast_bytes: int = 0,
 ) -> DataFrame:
     """The keyed table after ``new`` is written over ``old``.
 
@@ -118,11 +131,10 @@ def upsert(
     fail the job: filter them with ``require`` first. The columns are those of
     ``old``; a column ``new`` lacks counts as null there.
 
-    A full outer join shuffles all of ``old``. With ``broadcast_rows`` set, the
-    rows of ``new`` are counted up to that bound (one job); within it, ``new``
-    is broadcast and ``old`` is never shuffled, beyond it the full join is used.
-    Choose the bound by row width. ``new`` is read several times then: pass a
-    stored table (``sources.stage``).
+    A full outer join shuffles all of ``old``. With ``broadcast_bytes`` set, the
+    size of ``new`` is measured (one job); up to that bound ``new`` is broadcast
+    and ``old`` is never shuffled, beyond it the full join is used. ``new`` is
+    read several times then: pass a stored table (``sources.stage``).
     """
     keys = list(keys)
     if order_by is None and not new_unique:
@@ -149,7 +161,7 @@ def upsert(
     def finish(joined: DataFrame) -> DataFrame:
         return joined.select(*[merged(c).alias(c) if c in values else F.col(c) for c in old.columns])
 
-    if broadcast_rows and new.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if broadcast_bytes and measured_bytes(new) <= broadcast_bytes:
         small = F.broadcast(new)
         found = old.select(*keys).join(F.broadcast(new.select(*keys)), keys, "left_semi")
         added = new.join(found, keys, "left_anti").select(

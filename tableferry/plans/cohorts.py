@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.checksum import row_checksum
 from ..operators.changes import changed_rows, pick_rows
 from ..operators.incremental import stamp_run
+from ..operators.keyed import measured_bytes
 from ..operators.shape import conform
 from ..sources.scratch import stage
 from .schemas import COHORT_TARGET, DISABLED_COHORTS, schema
@@ -67,22 +68,22 @@ def cohort_changes(
     target: DataFrame,
     exclude: Sequence[str] = (),
     sep: str = "",
-    few_rows: int = 0,
+    broadcast_bytes: int = 0,
 ) -> DataFrame:
     """Cohort rows that are new to the target or differ from it, ready to be upserted.
 
     The checksum covers the whole row, so a keyed target holds each (id,
     checksum) pair once. Found in one step, every source row is shuffled whole.
-    With ``few_rows`` set, the pairs are compared first, by themselves, and the
-    differing ones are stored and counted; up to that many are broadcast to
-    pick their rows from a second scan, so no wide row is shuffled. Beyond it
-    the one step is taken.
+    With ``broadcast_bytes`` set, the pairs are compared first, by themselves,
+    and the differing ones are stored and measured; up to that size they are
+    broadcast to pick their rows from a second scan, so no wide row is
+    shuffled. Beyond it the one step is taken.
     """
     rows, on = cohort_rows(source, exclude, sep), ["suid", "checksum"]
-    if few_rows:
-        pairs = changed_rows(rows.select(*on), target, on, target_unique=True).distinct()
-        pairs, n_pairs = stage(pairs, "changed")
-        if n_pairs <= few_rows:
+    if broadcast_bytes:
+        pairs = changed_rows(rows.select(*on).distinct(), target, on, target_unique=True)
+        pairs, _ = stage(pairs, "changed")
+        if measured_bytes(pairs) <= broadcast_bytes:
             return pick_rows(rows, pairs, on)
     return changed_rows(rows, target, on, target_unique=True)
 

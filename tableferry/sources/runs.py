@@ -5,8 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -148,8 +146,8 @@ def _touched(new: DataFrame, by: Sequence[str], limit: int):
     values = new.select(*by).distinct().limit(limit + 1).collect()
     if len(values) > limit:
         return None
-    hit = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by]) for row in values]
-    return reduce(or_, hit, F.lit(False))
+    found = [F.struct(*[F.lit(row[c]) for c in by]) for row in values]
+    return F.struct(*[F.col(c) for c in by]).isin(found) if found else F.lit(False)
 
 
 def merge_partitions(
@@ -162,7 +160,7 @@ def merge_partitions(
     order_by: Order | None = None,
     ignore_nulls: bool = True,
     new_unique: bool = False,
-    broadcast_rows: int = 0,
+    broadcast_bytes: int = 0,
     order_within: Order = (),
     max_partitions_listed: int = 1000,
 ) -> None:
@@ -192,5 +190,5 @@ def merge_partitions(
     touched = _touched(new, by, max_partitions_listed)
     if touched is not None:
         old = old.filter(touched)
-    merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique, broadcast_rows)
+    merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique, broadcast_bytes)
     write_partitions(merged, path, by, order=order_within)

@@ -15,6 +15,7 @@ from tableferry.operators import (
     keep_keys,
     key_list,
     latest_per_key,
+    measured_bytes,
     membership_keys,
     null_audit,
     null_rows,
@@ -185,14 +186,14 @@ NEW = [("a", None, "new"), ("c", 3, None), ("d", None, "d")]
 KV = "k string, n int, s string"
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10, 2])
-def test_upsert_by_hand(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [0, 10_000, 2])
+def test_upsert_by_hand(spark, broadcast_bytes):
     old, new = spark.createDataFrame(OLD, KV), spark.createDataFrame(NEW, KV)
-    state = upsert(old, new, ["k"], new_unique=True, broadcast_rows=broadcast_rows)
+    state = upsert(old, new, ["k"], new_unique=True, broadcast_bytes=broadcast_bytes)
     assert state.columns == ["k", "n", "s"]
     assert rows(state) == [("a", 1, "new"), ("b", 2, "y"), ("c", 3, None), ("d", None, "d")]
     whole = upsert(
-        old, new, ["k"], new_unique=True, ignore_nulls=False, broadcast_rows=broadcast_rows
+        old, new, ["k"], new_unique=True, ignore_nulls=False, broadcast_bytes=broadcast_bytes
     )
     assert rows(whole) == [("a", None, "new"), ("b", 2, "y"), ("c", 3, None), ("d", None, "d")]
 
@@ -215,9 +216,9 @@ def test_upsert_missing_column_counts_as_null(spark):
 
 def test_upsert_refuses_null_keys(spark):
     old, new = spark.createDataFrame(OLD, KV), spark.createDataFrame([(None, 9, "x")], KV)
-    for bound in (0, 10):
+    for bound in (0, 10_000):
         with pytest.raises(PySparkException, match="null in key column k"):
-            upsert(old, new, ["k"], new_unique=True, broadcast_rows=bound).collect()
+            upsert(old, new, ["k"], new_unique=True, broadcast_bytes=bound).collect()
 
 
 def test_upsert_is_idempotent_and_matches_brute_force(spark):
@@ -250,12 +251,18 @@ def test_upsert_is_idempotent_and_matches_brute_force(spark):
     old = spark.createDataFrame(old_rows, ddl).drop("batch")
     new = spark.createDataFrame(new_rows, ddl).repartition(5, "n")
     order = [("batch", "desc")]
-    for bound in (0, 1000):
-        once = upsert(old, new, ["a", "b"], order_by=order, broadcast_rows=bound)
+    for bound in (0, 1_000_000):
+        once = upsert(old, new, ["a", "b"], order_by=order, broadcast_bytes=bound)
         assert rows(once) == expected
         assert rows(upsert(once, new, ["a", "b"], order_by=order)) == expected
 
 
+def test_measured_bytes(spark):
+    df = spark.sql("SELECT 'abc' AS s, 1 AS n, array('x') AS a UNION ALL SELECT NULL, NULL, NULL")
+    assert measured_bytes(df) == (3 + 8) + 8 + (5 + 8) + 3 * 8
+    assert measured_bytes(df.limit(0)) == 0
+
+
 def test_sort_for_load_order(spark, tmp_path):
     df = spark.range(0, 5000, 1, 7).select(
         (F.col("id") % 3).alias("k"), (F.col("id") * 37 % 1000).alias("t"), "id"

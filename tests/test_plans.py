@@ -178,10 +178,10 @@ def test_cohort_rows(cohorts):
     assert {r.suid for r in cohort_rows(cohorts).collect()} == {"a", "b", "test", None}
 
 
-@pytest.mark.parametrize("few_rows", [0, 1, 100])
-def test_cohort_changes(cohorts, few_rows):
+@pytest.mark.parametrize("bound", [0, 60, 10_000])
+def test_cohort_changes(cohorts, bound):
     def changes(source, target, exclude=()):
-        return cohort_changes(source, target, exclude, few_rows=few_rows)
+        return cohort_changes(source, target, exclude, broadcast_bytes=bound)
 
     target = cohort_rows(cohorts)
     assert [r.suid for r in changes(cohorts, target).collect()] == [None]

@@ -175,11 +175,11 @@ def test_bounded_upsert_does_not_shuffle_the_table(facts, conf, first_plan):
     conf(NO_BROADCAST)
     old = facts.select("id", "payload")
     new = facts.filter("id < 50").select((F.col("id") * 100000).alias("id"), F.lit("x").alias("payload"))
-    small = upsert(old, new, ["id"], new_unique=True, broadcast_rows=100)
+    small = upsert(old, new, ["id"], new_unique=True, broadcast_bytes=10_000)
     updated = first_plan(small).split("\n")
     joins = [line for line in updated if "Join" in line and "BroadcastHashJoin" not in line]
     assert all("LeftAnti" in line for line in joins)
-    big = upsert(old, new, ["id"], new_unique=True, broadcast_rows=10)
+    big = upsert(old, new, ["id"], new_unique=True, broadcast_bytes=100)
     assert "FullOuter" in first_plan(big)
     assert sorted(small.collect()) == sorted(big.collect())
 

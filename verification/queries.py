@@ -25,7 +25,6 @@ from tableferry.operators import (
     changed_rows,
     defaults,
     flatten_struct,
-    high_water,
     keep_keys,
     key_list,
     latest_per_key,
@@ -33,7 +32,6 @@ from tableferry.operators import (
     require,
     run_audit,
     sort_for_load,
-    stamp_run,
     union_all,
     upsert,
 )
@@ -62,7 +60,6 @@ from tableferry.sources import (
     read_partitions,
     read_table,
     read_tree,
-    record_run,
     replace_run,
     scratch_path,
     write_partitions,
@@ -514,9 +511,9 @@ def upsert_ignore_nulls(spark, sf_dir):
 
 @query(UPSERT_SQL)
 def upsert_broadcast(spark, sf_dir):
-    """The same upsert with the counted, bounded side broadcast."""
+    """The same upsert with the measured, bounded side broadcast."""
     old, new = customer_batches(spark, sf_dir)
-    return upsert(old, new, ["c_custkey"], order_by=[("batch", "desc")], broadcast_rows=100_000)
+    return upsert(old, new, ["c_custkey"], order_by=[("batch", "desc")], broadcast_bytes=64 << 20)
 
 
 @query(
@@ -671,7 +668,7 @@ def sync_changed(spark, sf_dir):
 def sync_changed_narrow(spark, sf_dir):
     """The same rows, found by comparing ids and checksums alone and picked from a second scan."""
     source, target = cohort_sides(spark, sf_dir)
-    return flat(cohort_changes(source, target, EXCLUDED, few_rows=1_000_000))
+    return flat(cohort_changes(source, target, EXCLUDED, broadcast_bytes=256 << 20))
 
 
 @query(
