@@ -130,6 +130,12 @@ def test_hot_key_is_split_in_membership(spark, facts, keys, tmp_path, conf, fina
     assert kept.count() == facts.filter(F.col("tag_id").isin("hot")).count() + len(listed) - 1
 
 
+def test_a_distinct_list_would_keep_the_hot_key_whole(facts, keys, conf, final_plan):
+    conf(SMALL_SKEW)
+    plan = final_plan(facts.join(keys.select("tag_id").distinct(), "tag_id", "left_semi"))
+    assert "SortMergeJoin" in plan and "skew=true" not in plan
+
+
 def test_hot_key_is_split_in_change_detection(facts, keys, conf, final_plan):
     conf(SMALL_SKEW)
     target = keys.filter("tag_id <> 'hot'")
