@@ -92,7 +92,8 @@ def replace_run(
     The partition is written by its own directory, so a rerun that yields no
     rows empties it, where a dynamic overwrite would leave the old rows. Rows
     are counted while they are written. Run columns ``df`` may carry are
-    dropped: the directory states them.
+    dropped: the directory states them. A write that fails leaves the run
+    missing until it is run again.
     """
     df = df.drop(*RUN_COLUMNS)
     sequence = str(run_sequence)
