@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,24 +12,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the session names in ``spark.checkpoint.dir``.
 
     A checkpoint folder set on the running context serves as well. Where both
-    are unset, a machine-local folder is used, and only by a local session:
-    executors on other machines could not read it.
+    are unset, a folder of the warehouse is taken: executors reach that too.
+    A machine-local temporary folder is never used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tableferry-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write a table to scratch once; its stored form and row count.
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a table to scratch once; its stored form and its path.
 
-    For a table that is read several times and must be the same each time. The
-    stored form has no lineage to recompute when executors are lost. The folder
-    is left to the retention of the checkpoint folder.
+    The stored form has no lineage to recompute when executors are lost and
+    gives the same rows on each read.
     """
-    path, counted = scratch_path(df.sparkSession, name), Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("n_rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["n_rows"]
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Like :func:`stored`, giving the row count in place of the path."""
+    counted = Observation()
+    kept, _ = stored(df.observe(counted, F.count(F.lit(1)).alias("n_rows")), name)
+    return kept, counted.get["n_rows"]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
