@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark import SparkFiles
@@ -251,7 +252,7 @@ def local_file(path: str) -> str:
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """Cut a column of texts so that a slice has about ``limit`` bytes, one row at least."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for row, size in enumerate(sizes.tolist()):
         if held and held + size > limit:
@@ -298,7 +299,7 @@ def with_bytes(docs: DataFrame, ids_col: str, bytes_col: str, vocabulary: str) -
                 rows = batch.slice(start, 256)
                 lists = rows.column(ids_at)
                 data, ends = table.decode(lists.flatten().to_numpy(zero_copy_only=False))
-                counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 cuts = np.r_[0, ends][np.r_[0, np.cumsum(counts)]].tolist()
                 data = data.tobytes()
                 values = [
