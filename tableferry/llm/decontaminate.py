@@ -130,15 +130,18 @@ def decontaminate(
     met = index.select("text_key", F.explode("marks").alias("mark"))
     met = met.join(stretches.select("mark").distinct(), "mark", "left_semi").select("text_key").distinct()
 
-    # the texts that share a fingerprint: extend its hits and compare the words
-    close = _fingerprinted(docs.join(met, "text_key", "left_semi"), window, k)
+    # the texts that share a fingerprint: extend its hits and compare the words;
+    # stored first, so that words are not worked out for the others again
+    close, _ = stored(docs.join(met, "text_key", "left_semi").select("text_key", "text"), "close")
+    close = _fingerprinted(close, window, k)
     hits = all_spans(close, "text_key").join(stretches, ["size", "mark", "stretch"])
     hits, _ = stored(hits.select("text_key", "at", "size", "item").distinct(), "hits")
     places = hits.select("text_key", "at", "size").distinct()
     places = places.select("text_key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at"))
     n_hit = places.distinct().groupBy("text_key").agg(F.count("*").alias("n_hit"))
     listed = hits.groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    found = n_hit.join(listed, "text_key").withColumnRenamed("text_key", "found_key")
+    # stored, so that the join below has two fresh exchanges and a text with many copies can be split
+    found, _ = stored(n_hit.join(listed, "text_key").withColumnRenamed("text_key", "found_key"), "found")
     return index.join(found, F.col("text_key") == F.col("found_key"), "left").select(
         "doc_id",
         "text_key",
