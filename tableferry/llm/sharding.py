@@ -154,6 +154,8 @@ def shard_documents(
     total = base.count()
     start = F.pmod(F.xxhash64(F.lit("start"), "uid"), F.lit(shards)).cast("int")
     hubs = base.where(F.col("group").isNotNull()).groupBy("group").count().where(F.col("count") > 1).select("group")
+    # stored, so that the join has two fresh exchanges and a large group can be split
+    hubs, _ = stored(hubs, "hubs")
     links = base.join(hubs, "group", "left_semi").select("uid", F.col("group").alias("hub"), start.alias("label"))
     labels = propagate(links, shards, total // shards, rounds)
     labels = labels.select(F.col("uid").alias("linked_uid"), "label")
