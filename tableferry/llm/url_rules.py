@@ -70,7 +70,9 @@ def token_counts(pages: DataFrame, url_col: str, rules: list[Rule]) -> dict[str,
     """In how many rows each token of the rules occurs; the driver gets a row per rule token at most."""
     spark = pages.sparkSession
     wanted = spark.createDataFrame([(t,) for t in sorted({t for r in rules for t in r.tokens})], "token string")
-    found = pages.select(F.explode(_token_column(F.col(url_col))).alias("token")).join(wanted, "token", "left_semi")
+    found = pages.select(F.explode(_token_column(F.col(url_col))).alias("token"))
+    # every worker holds the rules' tokens anyway, and MOST_RULES bounds them
+    found = found.join(F.broadcast(wanted), "token", "left_semi")
     return {r["token"]: r["n"] for r in found.groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 
