@@ -32,6 +32,8 @@ MAX16, MAX32 = 0xFFFF, 0xFFFFFFFF
 # Compressed bytes of records fetched at once, and what a package may reach before the next is begun.
 FETCH = 4 << 20
 PACKAGE_BYTES = 1 << 30
+# Compressed bytes a task reads back; a range's row is small, so its size says nothing of the work.
+TASK_BYTES = 32 << 20
 
 
 def open_store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -246,7 +248,7 @@ def write_packages(
     package_bytes: int = PACKAGE_BYTES,
     force64: bool = False,
 ) -> DataFrame:
-    """Write a record per row and return ``package, records``, the list of complete packages.
+    """Write a record per row and return ``package, records, bytes``, the list of complete packages.
 
     Of rows with equal payloads of at least ``least`` bytes those with the
     smallest id are responses, the others revisit it; all shorter ones are
@@ -283,10 +285,13 @@ def write_packages(
                     package.data("".join(f"{x}\n" for x in lines[start : start + 10_000]).encode())
                 package.end()
                 package.close()
-            yield pa.RecordBatch.from_pydict({"package": [name], "records": pa.array([len(lines)], pa.int64())})
+            yield pa.RecordBatch.from_pydict({
+                "package": [name], "records": pa.array([len(lines)], pa.int64()),
+                "bytes": pa.array([package.at], pa.int64()),
+            })
 
     marked = mark_revisits(pages, id_col, url_col, payload_col, least)
-    return stored(marked.mapInArrow(run, "package string, records long"), "packages")[0]
+    return stored(marked.mapInArrow(run, "package string, records long, bytes long"), "packages")[0]
 
 
 def _pieces(batch: pa.RecordBatch, rows: int = 64) -> Iterator[pa.RecordBatch]:
@@ -350,7 +355,8 @@ def read_packages(packages: DataFrame, folder: str, with_payload: bool = False)
 
     schema = RECORD + (", payload binary" if with_payload else "")
     ranges = packages.select("package").mapInArrow(locate, "package string, offset long, lengths array<long>")
-    return ranges.repartition("package", "offset").mapInArrow(fetch, schema)
+    total = packages.agg(F.sum("bytes")).first()[0] or 0
+    return ranges.repartition(1 + total // TASK_BYTES, "package", "offset").mapInArrow(fetch, schema)
 
 
 def _ranges(name: str, spans: list[tuple[int, list[int]]]) -> pa.RecordBatch:
