@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tableferry.llm.slices import text_slices
+
 UNKNOWN = "und"
 SPACE = 32
+# The driver holds a profile of each language; more distinct labels than this are refused.
+MOST_LANGUAGES = 10_000
 # characters counted together; a longer text is counted in pieces of this size and summed
 PIECE = 1 << 20
 # a code point takes 21 bits, so three fit a key
@@ -105,10 +109,15 @@ def learn(labelled: DataFrame, text_col: str, lang_col: str, key_col: str, size:
     ).dropna()
     spread = F.pmod(F.xxhash64(F.lit("fit"), "key"), F.lit(1 << 30)) / float(1 << 30)
     shares = rows.groupBy("lang").agg((F.lit(float(fit_rows)) / F.count("*")).alias("share"))
-    fit = rows.withColumn("spread", spread).join(shares, "lang").where(F.col("spread") < F.col("share"))
+    shares = shares.limit(MOST_LANGUAGES + 1).collect()
+    if len(shares) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    shares = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    # bounded just above; rows are picked where they are, and no text is shuffled
+    fit = rows.withColumn("spread", spread).join(F.broadcast(shares), "lang").where(F.col("spread") < F.col("share"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             held: dict[str, list] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 held.setdefault(lang, []).append(grams(text.as_py()))
@@ -141,7 +150,7 @@ def with_language(docs: DataFrame, text_col: str, profiles: Profiles, lang_col:
     text_at = others.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, text_at):
             found = [profiles.predict(t.as_py()) for t in batch.column(text_at)]
             langs, scores = pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, langs, scores], [*others, lang_col, score_col])
