@@ -50,8 +50,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add the token ids, checked by decoding; only documents that come back as they were go out."""
-    coded = bpe.with_ids(docs, "text", "token_ids", VOCABULARY, public_tokenizers.PATTERN)
-    checked = bpe.with_bytes(coded, "token_ids", "__bytes", VOCABULARY)
+    checked = bpe.with_ids(docs, "text", "token_ids", VOCABULARY, public_tokenizers.PATTERN, bytes_col="__bytes")
     same = F.col("__bytes") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return checked.where(same).withColumn("n_tokens", F.size("token_ids").cast("long")).drop("__bytes")
 

@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry.llm.slices import text_slices
+
 NONE = np.int32(2**31 - 1)
-# Text bytes whose new words are replayed together, and words kept by a worker.
-SLICE_BYTES = 8 << 20
-WORDS_KEPT = 400_000
+# Words whose ids a worker keeps.
+WORDS_KEPT = 200_000
 
 
 def _sorted_once(values: np.ndarray) -> np.ndarray:
@@ -250,43 +251,46 @@ def local_file(path: str) -> str:
         return SparkFiles.get(path.rsplit("/", 1)[-1])
 
 
-def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """Cut a column of texts so that a slice has about ``limit`` bytes, one row at least."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    start, held = 0, 0
-    for row, size in enumerate(sizes.tolist()):
-        if held and held + size > limit:
-            yield column.slice(start, row - start)
-            start, held = row, 0
-        held += size
-    yield column.slice(start)
-
-
-def with_ids(docs: DataFrame, text_col: str, ids_col: str, vocabulary: str, pattern: str) -> DataFrame:
+def with_ids(
+    docs: DataFrame, text_col: str, ids_col: str, vocabulary: str, pattern: str, bytes_col: str | None = None
+) -> DataFrame:
     """Add the token ids of each text as ``array<int>``; a column of that name is replaced.
 
     A null text counts as empty and has no tokens. Special tokens do not exist:
-    their strings are ordinary text. Rows stay where they are; there is no shuffle.
+    their strings are ordinary text. Where ``bytes_col`` is named, the ids are
+    decoded in the same pass, as :func:`with_bytes` does. Rows stay where they
+    are; there is no shuffle.
     """
-    others = [c for c in docs.columns if c != ids_col]
+    added = [ids_col, *([bytes_col] if bytes_col else [])]
+    others = [c for c in docs.columns if c not in added]
     text_at = others.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(local_file(vocabulary), pattern)
-        for batch in batches:
-            done = 0
-            for part in text_slices(batch.column(text_at)):
-                ids, counts = encoder.encode([t or "" for t in part.to_pylist()])
-                cuts = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-                lists = pa.ListArray.from_arrays(cuts, pa.array(ids))
-                rows = batch.slice(done, len(part))
-                yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*others, ids_col])
-                done += len(part)
+        for rows in text_slices(batches, text_at):
+            ids, counts = encoder.encode([t or "" for t in rows.column(text_at).to_pylist()])
+            cuts = np.r_[0, np.cumsum(counts)]
+            columns = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))]
+            if bytes_col:
+                columns.append(_byte_column(encoder.table, ids, cuts))
+            yield pa.RecordBatch.from_arrays([*rows.columns, *columns], [*others, *added])
 
     fields = [docs.schema[c] for c in others] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+    if bytes_col:
+        fields.append(T.StructField(bytes_col, T.BinaryType()))
     return docs.select(*[F.col(f"`{c}`") for c in others]).mapInArrow(run, T.StructType(fields))
 
 
+def _byte_column(table: MergeTable, ids: np.ndarray, cuts: np.ndarray, valid: list[bool] | None = None) -> pa.Array:
+    """The decoded bytes of each run of ids between two cuts."""
+    data, ends = table.decode(ids)
+    at, data = np.r_[0, ends][cuts].tolist(), data.tobytes()
+    values = (data[a:b] for a, b in zip(at, at[1:]))
+    if valid:
+        values = (v if ok else None for v, ok in zip(values, valid))
+    return pa.array(values, pa.binary())
+
+
 def with_bytes(docs: DataFrame, ids_col: str, bytes_col: str, vocabulary: str) -> DataFrame:
     """Add what the token ids stand for as ``binary``; null ids give null."""
     others = [c for c in docs.columns if c != bytes_col]
@@ -298,15 +302,10 @@ def with_bytes(docs: DataFrame, ids_col: str, bytes_col: str, vocabulary: str) -
             for start in range(0, len(batch), 256):
                 rows = batch.slice(start, 256)
                 lists = rows.column(ids_at)
-                data, ends = table.decode(lists.flatten().to_numpy(zero_copy_only=False))
                 counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                cuts = np.r_[0, ends][np.r_[0, np.cumsum(counts)]].tolist()
-                data = data.tobytes()
-                values = [
-                    data[a:b] if ok else None
-                    for a, b, ok in zip(cuts, cuts[1:], lists.is_valid().to_pylist())
-                ]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(values, pa.binary())], [*others, bytes_col])
+                ids = lists.flatten().to_numpy(zero_copy_only=False)
+                column = _byte_column(table, ids, np.r_[0, np.cumsum(counts)], lists.is_valid().to_pylist())
+                yield pa.RecordBatch.from_arrays([*rows.columns, column], [*others, bytes_col])
 
     fields = [docs.schema[c] for c in others] + [T.StructField(bytes_col, T.BinaryType())]
     return docs.select(*[F.col(f"`{c}`") for c in others]).mapInArrow(run, T.StructType(fields))

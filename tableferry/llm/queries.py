@@ -44,9 +44,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.with_ids(docs, "text", "ids", VOCABULARY, public_tokenizers.PATTERN).drop("text")
-    decoded = bpe.with_bytes(coded, "ids", "bytes", VOCABULARY)
-    return decoded.select(
+    coded = bpe.with_ids(docs, "text", "ids", VOCABULARY, public_tokenizers.PATTERN, bytes_col="bytes")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
