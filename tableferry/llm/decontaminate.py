@@ -8,7 +8,6 @@ the stretches they stand for, and these are compared word by word.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -96,9 +95,9 @@ def decontaminate(
         """What joins a stretch: the winnowed hash, or the hash of all its words if it is short."""
         return F.get("mins", at) if size == window else F.xxhash64(_stretch(F.col("words"), at, size))
 
-    def each(size: int, what: Callable[[Column], Column], empty: Column) -> Column:
+    def each(size: int, empty: Column) -> Column:
         starts = F.sequence(F.lit(0), F.col("n") - size)
-        return F.when(F.col("n") >= size, F.transform(starts, what)).otherwise(empty)
+        return F.when(F.col("n") >= size, F.transform(starts, lambda at: mark(at, size))).otherwise(empty)
 
     def spans(texts: DataFrame, size: int, *keys: str) -> DataFrame:
         span = F.transform(
@@ -117,7 +116,7 @@ def decontaminate(
     stretches = all_spans(items, "item").select("item", "size", "mark", "stretch").distinct()
     texts = _fingerprinted(docs, window, k)
     winnowed = F.when(F.col("n") >= window, F.slice("mins", 1, F.col("n") - window + 1)).otherwise(no_marks)
-    short = [each(size, lambda at, size=size: mark(at, size), no_marks) for size in sizes[1:]]
+    short = [each(size, no_marks) for size in sizes[1:]]
     index, _ = stored(
         texts.select(
             "doc_id",

@@ -1,0 +1,82 @@
+import random
+
+import public_tokenizers as P
+import pytest
+import sentencepiece
+import tiktoken
+from pyspark.sql import functions as F
+
+from tableferry.llm import bpe, token_count
+from tableferry.llm.queries import PIECES, VOCABULARY
+from tableferry.llm.slices import text_slices
+
+ODD = [
+    None, "", " ", "\n", "  \n\n x", "a" * 20_000, " " * 30_000, "aaa aaaa aaaaa", "it's we'll 12½ 日本語 ﬁ\u0085\xa0y",
+    "<|endoftext|> </s><s>", "\x00\x1c\x1d", "👩‍👩‍👧 e\u0301", "\u323b0\U000323b0\U0003d164탚", "▁ ▁▁x", "a \n b \n",
+]
+
+
+def mixed(seed, n):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("ab 'sné\n\t 日12½.,") for _ in range(rng.randrange(60))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(VOCABULARY, "rb") as lines:
+        ranks = bpe.read_ranks(lines)
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_ids_and_bytes_match_the_library(docs_of, library):
+    texts = ODD + mixed(1, 500)
+    docs = docs_of(list(enumerate(texts)), clash=True)
+    coded = bpe.with_ids(docs, "text", "ids", VOCABULARY, P.PATTERN, bytes_col="bytes")
+    for row in bpe.with_bytes(coded, "ids", "again", VOCABULARY).collect():
+        text = texts[row["doc_id"]] or ""
+        assert row["ids"] == library.encode_ordinary(text)
+        assert bytes(row["bytes"]) == bytes(row["again"]) == text.encode()
+
+
+def test_every_character_is_classed_as_by_the_library(library):
+    encoder = bpe._encoder(VOCABULARY, P.PATTERN)
+    texts = [f"a{chr(c)}b 1{chr(c)}2" for c in range(0, 0x110000, 7) if not 0xD800 <= c < 0xE000]
+    ids, counts = encoder.encode(texts)
+    expected = library.encode_ordinary_batch(texts, num_threads=1)
+    assert counts.tolist() == list(map(len, expected))
+    assert ids.tolist() == [i for e in expected for i in e]
+
+
+def test_words_are_forgotten_and_learned_again(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 5)
+    encoder = bpe.Encoder(bpe._table(VOCABULARY), P.PATTERN)
+    for text in mixed(2, 30):
+        assert encoder.encode([text])[0].tolist() == library.encode_ordinary(text)
+
+
+def test_null_ids_decode_to_null(spark):
+    rows = spark.createDataFrame([(1, [72, 105]), (2, None), (3, [])], "k int, ids array<int>")
+    got = {r["k"]: r["b"] for r in bpe.with_bytes(rows, "ids", "b", VOCABULARY).collect()}
+    assert got[2] is None and bytes(got[3]) == b"" and len(got[1]) > 0
+
+
+def test_counts_match_the_library(docs_of):
+    texts = ODD + mixed(3, 800)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rows = token_count.with_token_count(docs_of(list(enumerate(texts)), clash=True), "text", "n_tokens", PIECES).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(model.encode(t or "")) for i, t in enumerate(texts)}
+
+
+def test_empty_tables(docs_of):
+    assert bpe.with_ids(docs_of([]), "text", "ids", VOCABULARY, P.PATTERN).count() == 0
+    assert token_count.with_token_count(docs_of([]), "text", "n", PIECES).agg(F.sum("n")).first()[0] is None
+
+
+def test_slices_keep_rows_in_order():
+    import pyarrow as pa
+
+    texts = ["x" * 10, None, "", "y" * 100, "z"] * 3
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(texts, pa.string())})
+    parts = list(text_slices([batch, batch.slice(0, 0)], 0, limit=20))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert max(len(p) for p in parts) < len(texts)
