@@ -269,7 +269,7 @@ def write_packages(
             with store.open_output_stream(f"{base}/{name}") as out:
                 package = PackageWriter(out.write, force64)
                 package.begin(DATA)
-                while row is not None and package.at < package_bytes:
+                while row is not None and (not lines or package.at < package_bytes):
                     refers = row["refers_to"]
                     record = build_record(
                         row["page_id"], row["url"], row["payload"], row["digest"], refers, refers is not None

@@ -135,7 +135,6 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
         assert list(zip(-mine.score, mine.vec_id)) == sorted(zip(-mine.score, mine.vec_id))
         hits += len(set(best) & set(mine.vec_id))
     assert hits / 1000 >= 0.9
-    assert found[found.query_id == 100].vec_id.tolist() == list(range(101, 111))
 
 
 def test_every_code_within_the_radius_is_found():
