@@ -58,7 +58,11 @@ def _deliver(
     """Append to a keyed store, or merge into a partitioned parquet table when keys are given."""
     options = _options(args.target_option)
     if args.keys:
-        order = [tuple(entry.split(":", 1)) for entry in _names(args.order)] or None
+        order = [tuple(entry.split(":", 1)) for entry in _names(args.order)]
+        # rows of a key are never taken for unique: without an order the largest values win
+        comparable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        order = order or [(c, "desc") for c in comparable if c not in _names(args.keys)]
+        order = order or [(_names(args.keys)[0], "desc")]
         if args.drop_null_keys:
             df = require(df, _names(args.keys))
         merge_partitions(
@@ -69,7 +73,6 @@ def _deliver(
             keys=_names(args.keys),
             by=_names(args.partition_by),
             order_by=order,
-            new_unique=order is None,
             broadcast_bytes=args.broadcast_mb << 20,
             order_within=order_within,
         )

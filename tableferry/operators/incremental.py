@@ -43,7 +43,8 @@ def between_marks(
     can skip row groups by it. A null in a single column drops the row.
 
     A ``low`` in epoch milliseconds, as ``high_water`` gives it, covers its whole
-    millisecond: the row the mark was taken from is not found again.
+    millisecond: the row the mark was taken from is not found again. For the same
+    reason the cut-off is the start of its millisecond.
     """
     single = isinstance(cols, str) or len(cols) == 1
     names = [cols] if isinstance(cols, str) else list(cols)
@@ -59,7 +60,8 @@ def between_marks(
     for name in names:
         c, kind = F.col(name), df.schema[name].dataType
         epoch = time_literal(0, kind)
-        cutoff = time_literal(as_of, kind) - F.expr(f"INTERVAL {lag}")
+        # a mark covers its whole millisecond, so a run must not stop inside one
+        cutoff = F.date_trunc("millisecond", time_literal(as_of, kind) - F.expr(f"INTERVAL {lag}")).cast(kind)
         if single:
             after, before = is_after(c, kind), c < cutoff
         else:

@@ -39,6 +39,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Order) -> DataF
     return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 
+def latest_values(df: DataFrame, keys: Sequence[str], order_by: Order) -> DataFrame:
+    """One row per key holding, column by column, the first value that is not null in the given order.
+
+    What rows written one after the other leave behind where nulls do not
+    overwrite. With one direction throughout, an aggregate with a partial step
+    does it, so a key with many rows is cut down before the shuffle; mixed
+    directions need each row's rank within its key.
+    """
+    values = [c for c in df.columns if c not in keys]
+    directions = {direction for _, direction in order_by}
+    if len(directions) == 1:
+        down = directions == {"desc"}
+        # nulls last either way, as in order_columns
+        place = F.struct(*[
+            part
+            for i, (name, _) in enumerate(order_by)
+            for part in ((F.col(name).isNotNull() if down else F.col(name).isNull()).alias(f"n{i}"), F.col(name).alias(f"v{i}"))
+        ])
+        pick = F.max_by if down else F.min_by
+    else:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_columns(order_by)))
+        df, place, pick = df.withColumn("__rank", rank), F.col("__rank"), F.min_by
+    return df.groupBy(*keys).agg(*[pick(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in values])
+
+
 def key_list(df: DataFrame, col: str) -> DataFrame:
     """Distinct non-null values of one column."""
     return require(df.select(col), [col]).distinct()
@@ -126,8 +151,9 @@ def upsert(
     A key in one side only is kept as it is. For a key in both, each non-key
     column takes the new value unless that is null; with
     ``ignore_nulls=False`` the new row replaces the old one whole. ``old``
-    holds each key once. ``new`` is first cut to one row per key by
-    ``order_by``, or must be declared ``new_unique``. Null keys in ``new``
+    holds each key once. Of several new rows of a key, each column takes the
+    newest value that is not null by ``order_by`` (with ``ignore_nulls=False``
+    the newest row counts whole), or ``new`` must be declared ``new_unique``. Null keys in ``new``
     fail the job: filter them with ``require`` first. The columns are those of
     ``old``; a column ``new`` lacks counts as null there.
 
@@ -142,7 +168,7 @@ def upsert(
     values = [c for c in old.columns if c not in keys]
     new = _refuse_null_keys(new, keys)
     if order_by is not None:
-        new = latest_per_key(new, keys, order_by)
+        new = (latest_values if ignore_nulls else latest_per_key)(new, keys, order_by)
     new = new.select(
         *[F.col(k).cast(old.schema[k].dataType).alias(k) for k in keys],
         *[

@@ -59,8 +59,14 @@ def conform(
 def flatten_struct(
     df: DataFrame, col: str, fields: Sequence[str], defaults: Mapping[str, object] | None = None
 ) -> DataFrame:
-    """Replace a struct column by its children; children of a null struct are null or the default."""
+    """Replace a struct column by its children; children of a null struct are null or the default.
+
+    A child named like another column is refused.
+    """
     defaults = defaults or {}
+    taken = sorted(set(fields) & (set(df.columns) - {col}))
+    if taken:
+        raise ValueError(f"fields of {col} are named like columns: {taken}")
     lifted = [
         (
             F.coalesce(F.col(col)[f], F.lit(defaults[f])) if f in defaults else F.col(col)[f]

@@ -24,7 +24,7 @@ def shuffle_width(largest_shuffle_gb: float, partition_gb: float = 1.0) -> int:
     About a gigabyte each: adaptive execution joins what turns out small, but
     splits only joins and rebalances, so starting too narrow cannot be mended.
     """
-    return int(min(100_000, max(200, largest_shuffle_gb / partition_gb)))
+    return int(max(200, largest_shuffle_gb / partition_gb))
 
 
 def build_session(

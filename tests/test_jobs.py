@@ -119,4 +119,4 @@ def test_null_keys_fail_the_merge_unless_dropped(spark, tmp_path):
 def test_shuffle_width():
     from tableferry.session import shuffle_width
 
-    assert [shuffle_width(gb) for gb in (0.1, 5000, 100_000, 1_000_000)] == [200, 5000, 100_000, 100_000]
+    assert [shuffle_width(gb) for gb in (0.1, 5000, 100_000, 1_000_000)] == [200, 5000, 100_000, 1_000_000]

@@ -198,11 +198,11 @@ def test_upsert_by_hand(spark, broadcast_bytes):
     assert rows(whole) == [("a", None, "new"), ("b", 2, "y"), ("c", 3, None), ("d", None, "d")]
 
 
-def test_upsert_takes_one_row_per_key(spark):
+def test_upsert_takes_the_newest_value_of_each_column(spark):
     old = spark.createDataFrame(OLD, KV)
     new = spark.createDataFrame([("a", 5, "first", 1), ("a", None, "last", 2)], KV + ", batch int")
     state = upsert(old, new, ["k"], order_by=[("batch", "desc")])
-    assert rows(state)[0] == ("a", 1, "last")
+    assert rows(state)[0] == ("a", 5, "last")
     with pytest.raises(ValueError):
         upsert(old, new, ["k"])
 
@@ -240,10 +240,7 @@ def test_upsert_is_idempotent_and_matches_brute_force(spark):
     old_rows = list({(r[0], r[1]): r for r in some(80, False)}.values())
     new_rows = some(150, True)
     state = {(a, b): [n, s] for a, b, n, s, _ in old_rows}
-    last = {}
-    for row in new_rows:
-        last[row[:2]] = row
-    for (a, b), (_, _, n, s, _) in last.items():
+    for a, b, n, s, _ in new_rows:
         have = state.setdefault((a, b), [None, None])
         state[a, b] = [have[0] if n is None else n, have[1] if s is None else s]
     expected = sorted([(a, b, n, s) for (a, b), (n, s) in state.items()], key=repr)
@@ -338,3 +335,22 @@ def test_run_columns(spark):
     assert run_date(dt.datetime(2024, 2, 1, 5)) == "2024-02-01"
     with pytest.raises(ValueError):
         run_date("01.02.2024")
+
+
+def test_window_leaves_no_row_inside_the_cut_offs_millisecond(spark):
+    """Three runs over rows microseconds apart give every row once."""
+    at = dt.datetime(2024, 1, 2, 3, 4, 5)
+    times = [at + dt.timedelta(microseconds=m) for m in (123456, 123756, 124056, 125001)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id int, t timestamp_ntz")
+    low, seen = None, []
+    for cut in (123500, 124900, 900000):
+        found = between_marks(df, "t", low, at + dt.timedelta(days=1, microseconds=cut))
+        seen += [r["id"] for r in found.collect()]
+        low = high_water(found, "t").first()["max_time_ms"] or low
+    assert sorted(seen) == [0, 1, 2, 3]
+
+
+def test_flatten_struct_refuses_a_clash(spark):
+    df = spark.sql("SELECT 1 AS a, struct(2 AS a, 3 AS b) AS s")
+    with pytest.raises(ValueError, match="named like columns"):
+        flatten_struct(df, "s", ["a", "b"])

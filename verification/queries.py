@@ -466,7 +466,14 @@ NEWEST_BATCH = f"""batches AS ({BATCHES}), newest AS (
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY batch DESC) AS rn FROM batches)
 WHERE rn = 1)"""
 
-UPSERT_SQL = f"""WITH {NEWEST_BATCH}
+NEWEST_VALUES = f"""batches AS ({BATCHES}), newest AS (
+SELECT c_custkey, arg_max(c_name, batch) FILTER (c_name IS NOT NULL) AS c_name,
+  arg_max(c_nationkey, batch) FILTER (c_nationkey IS NOT NULL) AS c_nationkey,
+  arg_max(c_acctbal, batch) FILTER (c_acctbal IS NOT NULL) AS c_acctbal,
+  arg_max(c_mktsegment, batch) FILTER (c_mktsegment IS NOT NULL) AS c_mktsegment
+FROM batches GROUP BY c_custkey)"""
+
+UPSERT_SQL = f"""WITH {NEWEST_VALUES}
 SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, coalesce(n.c_name, o.c_name) AS c_name,
   coalesce(n.c_nationkey, o.c_nationkey) AS c_nationkey, coalesce(n.c_acctbal, o.c_acctbal) AS c_acctbal,
   coalesce(n.c_mktsegment, o.c_mktsegment) AS c_mktsegment
