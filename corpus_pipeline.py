@@ -36,9 +36,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold ten consecutive words of a benchmark item, or a whole shorter one."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontaminate(docs, items, window=10).where("contaminated").select("text_key").distinct()
+    hit = decontaminate(docs, items, window=10).where("contaminated").select(F.col("text_key").alias("__hit")).distinct()
     keyed = docs.withColumn("__text_key", F.sha2("text", 256))
-    return keyed.join(hit, F.col("__text_key") == F.col("text_key"), "left_anti").drop("__text_key")
+    return keyed.join(hit, F.col("__text_key") == F.col("__hit"), "left_anti").drop("__text_key")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
