@@ -16,41 +16,8 @@ import time
 from tableferry.session import build_session
 from verification.queries import QUERIES
 
-HEADLINE = [
-    "tree_scan",
-    "union_all",
-    "seed_readback",
-    "partition_rerun",
-    "run_metadata",
-    "null_audit",
-    "time_buckets",
-    "ts_load",
-    "ts_load_sorted",
-    "sorted_load",
-    "current_value",
-    "latest_order",
-    "key_list",
-    "daily_by_keys",
-    "hourly_by_keys",
-    "upsert_ignore_nulls",
-    "upsert_broadcast",
-    "ts_merge",
-    "row_checksum",
-    "checksum_nested",
-    "sync_changed",
-    "sync_changed_narrow",
-    "sync_upsert",
-    "changed_with_copies",
-    "incremental_window",
-    "high_water",
-    "high_water_multi",
-    "newest_window",
-    "audit_export",
-    "export_runs",
-    "flag_export",
-    "machine_export",
-    "machine_products",
-]
+# Every table query; the training-data queries have a check tool of their own.
+HEADLINE = list(QUERIES)
 
 
 def main() -> None:
@@ -58,11 +25,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
+    scratch = os.environ.get("BENCH_SCRATCH", "/tmp/bench-scratch")
     spark = build_session(
         "bench",
         f"local[{cpus}]",
         shuffle_partitions=int(cpus) if cpus.isdigit() else None,
-        extra={"spark.driver.memory": "8g"},
+        extra={"spark.driver.memory": "8g", "spark.checkpoint.dir": scratch},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -9,11 +9,16 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import require
 from .operators.keyed import Order
+from .operators.quality import counted_lines, null_counts
 from .plans import (
     audit_events,
     audit_mark,
@@ -40,6 +45,12 @@ from .sources import (
 )
 
 
+# File formats: an append to one of them repeats rows when a job is rerun.
+FILES = ("parquet", "orc", "avro", "json", "csv", "text")
+# A broadcast is held whole by the driver and each executor.
+MOST_BROADCAST_MB = 512
+
+
 def _options(pairs: list[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs or [])
 
@@ -52,10 +63,24 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_table(spark, args.source_format, _options(args.source_option))
 
 
+def _observed(counted: Observation, df: DataFrame, counts: list[Column]) -> dict[str, int]:
+    """What was counted while ``df`` was read for a write.
+
+    A plan whose rows all fell away is cut short with its counters in it; then they are counted anew.
+    """
+    try:
+        return counted.get
+    except Py4JJavaError:
+        return df.agg(*counts).first().asDict()
+
+
 def _deliver(
     spark: SparkSession, df: DataFrame, args: argparse.Namespace, order_within: Order = ()
 ) -> None:
-    """Append to a keyed store, or merge into a partitioned parquet table when keys are given."""
+    """Append to a keyed store, or merge into a partitioned parquet table when keys are given.
+
+    Rows dropped for a null key are counted in the pass that writes the others.
+    """
     options = _options(args.target_option)
     if args.keys:
         order = [tuple(entry.split(":", 1)) for entry in _names(args.order)]
@@ -63,8 +88,11 @@ def _deliver(
         comparable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         order = order or [(c, "desc") for c in comparable if c not in _names(args.keys)]
         order = order or [(_names(args.keys)[0], "desc")]
+        dropped = Observation()
         if args.drop_null_keys:
-            df = require(df, _names(args.keys))
+            null_key = reduce(or_, [F.col(k).isNull() for k in _names(args.keys)])
+            every, counts = df, [F.count_if(null_key).alias("n")]
+            df = require(df.observe(dropped, *counts), _names(args.keys))
         merge_partitions(
             spark,
             df,
@@ -76,16 +104,28 @@ def _deliver(
             broadcast_bytes=args.broadcast_mb << 20,
             order_within=order_within,
         )
+        if args.drop_null_keys:
+            print(json.dumps({"dropped_null_keys": _observed(dropped, every, counts)["n"]}))
     else:
+        if args.target_format in FILES:
+            raise SystemExit(f"{args.target_format} has no keys, so a rerun would repeat its rows: give --keys and --partition-by")
         write_table(df, args.target_format, options)
 
 
 def load_series(spark: SparkSession, args: argparse.Namespace) -> None:
     readings = read_tree(spark, args.path, READINGS)
-    for line in readings_audit(readings).collect():  # one line per column
-        print(json.dumps(line.asDict()))
     sort = None if args.keys else args.sort  # a merge orders its files when it writes them
-    _deliver(spark, raw_series(readings, sort), args, order_within=LOAD_ORDER)
+    if sort == "global":
+        # a global sort scans twice by itself, to sample and to sort, and would count twice
+        lines = [line.asDict() for line in readings_audit(readings).collect()]  # one line per column
+        _deliver(spark, raw_series(readings, sort), args)
+    else:
+        counted, counts = Observation(), null_counts(readings.columns)
+        observed = readings.observe(counted, *counts)
+        _deliver(spark, raw_series(observed, sort), args, order_within=LOAD_ORDER)
+        lines = counted_lines(_observed(counted, readings, counts), readings.columns)
+    for line in lines:
+        print(json.dumps(line))
 
 
 def load_current(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -141,10 +181,7 @@ def export_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def sync_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
     target = read_table(spark, args.target_format, _options(args.target_option))
-    changes = cohort_changes(
-        _source(spark, args), target, _names(args.exclude), broadcast_bytes=args.broadcast_mb << 20
-    )
-    _deliver(spark, changes, args)
+    _deliver(spark, cohort_changes(_source(spark, args), target, _names(args.exclude)), args)
 
 
 def mark_audit(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -180,11 +217,14 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--keys", help="merge into parquet by these columns (comma list)")
         sub.add_argument("--partition-by", help="partition columns of the merge, part of the keys")
         sub.add_argument("--drop-null-keys", action="store_true", help="null keys fail the merge otherwise")
-        sub.add_argument("--broadcast-mb", type=int, default=0, help="broadcast new rows up to this size")
+        sub.add_argument(
+            "--broadcast-mb", type=int, default=0, choices=range(MOST_BROADCAST_MB + 1), metavar="MB",
+            help=f"broadcast new rows up to this size, at most {MOST_BROADCAST_MB}",
+        )
         sub.add_argument("--order", help="which of several new rows of a key wins: column:asc|desc,...")
 
     def sort(sub):
-        sub.add_argument("--sort", choices=["global", "within"], default="global")
+        sub.add_argument("--sort", choices=["global", "within"], default="within")
 
     def tags(sub):
         sub.add_argument("--tags", required=True, help="parquet tree with a tag_id column")
@@ -201,7 +241,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--insert-date", required=True, metavar="YYYY-MM-DD")
         sub.add_argument("--run-sequence", default="1")
         sub.add_argument("--audit-path")
-        sub.add_argument("--max-files", type=int)
+        sub.add_argument("--max-files", type=int, help="files of the run; the write is that many tasks wide")
 
     def window(sub):
         sub.add_argument("--low", help="mark of the last run: epoch milliseconds or a time")

@@ -30,10 +30,11 @@ def changed_rows(
 
 
 def pick_rows(df: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose keys are in ``few``, a null equal to a null, without a shuffle of ``df``.
+    """Rows of ``df`` whose keys are in ``few``, a null equal to a null.
 
-    ``few`` is broadcast: pass a table whose size was measured.
+    Pass a stored table as ``few``: Spark knows its size then, and shuffles
+    ``df`` only if it is above the session's broadcast threshold.
     """
-    wanted = F.broadcast(few.select(*[F.col(k).alias(f"__few_{k}") for k in keys]))
+    wanted = few.select(*[F.col(k).alias(f"__few_{k}") for k in keys])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__few_{k}")) for k in keys])
     return df.join(wanted, same, "left_semi")

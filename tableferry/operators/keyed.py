@@ -48,6 +48,8 @@ def latest_values(df: DataFrame, keys: Sequence[str], order_by: Order) -> DataFr
     directions need each row's rank within its key.
     """
     values = [c for c in df.columns if c not in keys]
+    if not values:
+        return df.select(*keys).distinct()
     directions = {direction for _, direction in order_by}
     if len(directions) == 1:
         down = directions == {"desc"}
@@ -137,6 +139,16 @@ def _refuse_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _refuse_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows as they are; a key that repeats fails the job. Leaves them hashed by key, as the join wants them."""
+    values = [c for c in df.columns if c not in keys]
+    once = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__times"), *[F.first(c).alias(c) for c in values])
+    checked = F.when(F.col("__times") == 1, F.col(keys[0])).otherwise(
+        F.raise_error(F.lit(f"new rows repeat a key of {', '.join(keys)}")).cast(df.schema[keys[0]].dataType)
+    )
+    return once.withColumn(keys[0], checked).select(*df.columns)
+
+
 def upsert(
     old: DataFrame,
     new: DataFrame,
@@ -153,8 +165,8 @@ def upsert(
     ``ignore_nulls=False`` the new row replaces the old one whole. ``old``
     holds each key once. Of several new rows of a key, each column takes the
     newest value that is not null by ``order_by`` (with ``ignore_nulls=False``
-    the newest row counts whole), or ``new`` must be declared ``new_unique``. Null keys in ``new``
-    fail the job: filter them with ``require`` first. The columns are those of
+    the newest row counts whole), or ``new`` must be declared ``new_unique``, which is checked: a
+    repeated key fails the job, and so does a null key (filter those with ``require`` first). The columns are those of
     ``old``; a column ``new`` lacks counts as null there.
 
     A full outer join shuffles all of ``old``. With ``broadcast_bytes`` set, the
@@ -167,7 +179,9 @@ def upsert(
         raise ValueError("new may repeat a key: give order_by, or declare new_unique=True")
     values = [c for c in old.columns if c not in keys]
     new = _refuse_null_keys(new, keys)
-    if order_by is not None:
+    if order_by is None:
+        new = _refuse_repeats(new, keys)
+    else:
         new = (latest_values if ignore_nulls else latest_per_key)(new, keys, order_by)
     new = new.select(
         *[F.col(k).cast(old.schema[k].dataType).alias(k) for k in keys],

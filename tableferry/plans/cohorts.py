@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.checksum import row_checksum
 from ..operators.changes import changed_rows, pick_rows
 from ..operators.incremental import stamp_run
-from ..operators.keyed import measured_bytes
 from ..operators.shape import conform
-from ..sources.scratch import stage
+from ..sources.scratch import stored
 from .schemas import COHORT_TARGET, DISABLED_COHORTS, schema
 
 # The columns a cohort checksum covers, in order.
@@ -64,28 +63,19 @@ def cohort_rows(source: DataFrame, exclude: Sequence[str] = (), sep: str = "") -
 
 
 def cohort_changes(
-    source: DataFrame,
-    target: DataFrame,
-    exclude: Sequence[str] = (),
-    sep: str = "",
-    broadcast_bytes: int = 0,
+    source: DataFrame, target: DataFrame, exclude: Sequence[str] = (), sep: str = ""
 ) -> DataFrame:
     """Cohort rows that are new to the target or differ from it, ready to be upserted.
 
     The checksum covers the whole row, so a keyed target holds each (id,
-    checksum) pair once. Found in one step, every source row is shuffled whole.
-    With ``broadcast_bytes`` set, the pairs are compared first, by themselves,
-    and the differing ones are stored and measured; up to that size they are
-    broadcast to pick their rows from a second scan, so no wide row is
-    shuffled. Beyond it the one step is taken.
+    checksum) pair once. The pairs are compared by themselves, the differing
+    ones are stored, and their rows are picked from a second scan: wide rows
+    are shuffled only where the changes are too many for Spark to broadcast. A
+    row that changes between the two scans is left to the next run.
     """
     rows, on = cohort_rows(source, exclude, sep), ["suid", "checksum"]
-    if broadcast_bytes:
-        pairs = changed_rows(rows.select(*on).distinct(), target, on, target_unique=True)
-        pairs, _ = stage(pairs, "changed")
-        if measured_bytes(pairs) <= broadcast_bytes:
-            return pick_rows(rows, pairs, on)
-    return changed_rows(rows, target, on, target_unique=True)
+    pairs, _ = stored(changed_rows(rows.select(*on), target, on, target_unique=True), "changed")
+    return pick_rows(rows, pairs, on)
 
 
 def disabled_cohorts(

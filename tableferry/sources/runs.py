@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,7 +15,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..operators.incremental import RUN_COLUMNS, run_date
 from ..operators.keyed import Order, order_columns, upsert
-from .scratch import stage
+from .scratch import discard, stored, swap_in
 
 AUDIT_SCHEMA = (
     "table_name string, database_name string, insert_date string, run_sequence string, n_rows bigint"
@@ -92,13 +94,15 @@ def replace_run(
     The partition is written by its own directory, so a rerun that yields no
     rows empties it, where a dynamic overwrite would leave the old rows. Rows
     are counted while they are written. Run columns ``df`` may carry are
-    dropped: the directory states them. A write that fails leaves the run
-    missing until it is run again.
+    dropped: the directory states them. The rows are written beside the run, where
+    readers do not look, and take its place when they are complete, so a write
+    that fails leaves the old run as it was.
     """
     df = df.drop(*RUN_COLUMNS)
     sequence = str(run_sequence)
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", sequence):
         raise ValueError(f"run_sequence is used as a directory name: {sequence!r}")
+    fresh = f"{path}/_run-{uuid.uuid4().hex}"
     counted = Observation()
     (
         _sized(df, _spread_column(df), max_files)
@@ -106,8 +110,9 @@ def replace_run(
         .observe(counted, F.count(F.lit(1)).alias("n_rows"))
         .write.mode("overwrite")
         .option("compression", "snappy")
-        .parquet(f"{path}/insert_date={run_date(insert_date)}/run_sequence={sequence}")
+        .parquet(fresh)
     )
+    swap_in(df.sparkSession, fresh, f"{path}/insert_date={run_date(insert_date)}/run_sequence={sequence}")
     return counted.get["n_rows"]
 
 
@@ -120,9 +125,14 @@ def record_run(
     run_sequence: str | int,
     n_rows: int,
 ) -> None:
-    """Append one line to the run audit table at ``path``."""
+    """Put a run's line into the run audit table at ``path``; a rerun replaces its line.
+
+    Each run has a directory of its own, and its file holds all columns too.
+    """
     line = (table, database, run_date(insert_date), str(run_sequence), n_rows)
-    spark.createDataFrame([line], AUDIT_SCHEMA).write.mode("append").parquet(path)
+    names = [field.split()[0] for field in AUDIT_SCHEMA.split(",")][:4]
+    place = "/".join(f"{name}={quote(value, safe='')}" for name, value in zip(names, line))
+    spark.createDataFrame([line], AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{place}")
 
 
 def export_run(
@@ -142,13 +152,17 @@ def export_run(
     return n_rows
 
 
-def _touched(new: DataFrame, by: Sequence[str], limit: int):
-    """Filter for the partitions ``new`` has rows in, or None when there are more than ``limit``."""
-    values = new.select(*by).distinct().limit(limit + 1).collect()
-    if len(values) > limit:
-        return None
-    found = [F.struct(*[F.lit(row[c]) for c in by]) for row in values]
-    return F.struct(*[F.col(c) for c in by]).isin(found) if found else F.lit(False)
+def touched_values(new: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The partition values ``new`` has rows in, with their bounds stated as a filter.
+
+    The bounds are two values per column. They let a join with the values skip
+    directories: pruning at run time needs a comparison on the side that prunes.
+    """
+    bounds = new.agg(*[f(c).alias(f"{n}_{c}") for c in by for n, f in (("min", F.min), ("max", F.max))]).first()
+    values = new.select(*by).distinct()
+    for c in by:
+        values = values.filter(F.col(c).between(F.lit(bounds[f"min_{c}"]), F.lit(bounds[f"max_{c}"])))
+    return values
 
 
 def merge_partitions(
@@ -163,16 +177,19 @@ def merge_partitions(
     new_unique: bool = False,
     broadcast_bytes: int = 0,
     order_within: Order = (),
-    max_partitions_listed: int = 1000,
 ) -> None:
     """Upsert ``new`` into a partitioned parquet table, rewriting only partitions it touches.
 
     The partition columns must be part of the key, so that a row never moves
-    between partitions. ``new`` is staged first: the partitions it touches are
-    listed from the same rows that are merged, even if its source goes on
-    changing. They are listed on the driver up to ``max_partitions_listed``;
-    with more of them the old side is read whole, which gives the same rows. A
-    first load goes straight to the write.
+    between partitions. ``new`` is staged first, so that the partitions picked
+    and the rows merged are the same even if its source goes on changing. The
+    old side is cut to those partitions by a join with their values, however
+    many there are. A first load goes straight to the write.
+
+    The merged partitions are complete in the shared scratch folder before any
+    old file is replaced. If the replacement stops midway, the error names that
+    folder: :func:`write_partitions` of its rows finishes the merge. Staged
+    folders are deleted after success.
     """
     if not set(by) <= set(keys):
         raise ValueError("the partition columns must be part of the key")
@@ -181,15 +198,18 @@ def merge_partitions(
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-        first = upsert(new.limit(0).select(*nothing), new, keys, order_by, ignore_nulls, new_unique)
+        first = upsert(spark.createDataFrame([], schema), new, keys, order_by, ignore_nulls, new_unique)
         write_partitions(first, path, by, order=order_within)
         return
-    new, n_rows = stage(new, "merge")
-    if not n_rows:
-        return
-    touched = _touched(new, by, max_partitions_listed)
-    if touched is not None:
-        old = old.filter(touched)
-    merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique, broadcast_bytes)
-    write_partitions(merged, path, by, order=order_within)
+    new, new_path = stored(new, "merge")
+    if not new.isEmpty():
+        old = old.join(touched_values(new, by), list(by), "left_semi").select(*schema.names)
+        merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique, broadcast_bytes)
+        merged, merged_path = stored(merged, "merged")
+        try:
+            write_partitions(merged, path, by, order=order_within)
+        except Exception as e:
+            e.add_note(f"the merged partitions are complete in {merged_path}; write them over {path} to finish")
+            raise
+        discard(spark, merged_path)
+    discard(spark, new_path)

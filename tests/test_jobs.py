@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from tableferry.jobs import main
 from tableferry.plans.schemas import READINGS
 
@@ -30,7 +32,11 @@ def test_load_series_twice_keeps_one_copy(spark, tmp_path, capsys):
 def test_load_current(spark, tmp_path):
     data = [("a.1", 1, dt.datetime(2023, 6, d), float(d)) for d in (1, 2)]
     spark.createDataFrame(data, READINGS).write.parquet(str(tmp_path / "in"))
-    main(["load-current", "--path", str(tmp_path / "in"), "--target-option", f"path={tmp_path}/out"])
+    command = ["load-current", "--path", str(tmp_path / "in"), "--target-option", f"path={tmp_path}/out"]
+    with pytest.raises(SystemExit, match="no keys"):
+        main(command)
+    for _ in range(2):
+        main([*command, "--keys", "tag_id,asset_id", "--partition-by", "asset_id"])
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("tag_id", "event_value", "asset_id")) == [
         ("a.1", 2.0, "a")
     ]
@@ -40,11 +46,14 @@ def test_copies(spark, tmp_path):
     spark.createDataFrame([("a",), (None,)], "tag_id string").write.parquet(str(tmp_path / "tags"))
     data = [("a", dt.datetime(2014, 1, 1)), ("b", dt.datetime(2014, 1, 1)), ("a", dt.datetime(2010, 1, 1))]
     spark.createDataFrame(data, "tag_id string, latest_time timestamp").write.parquet(str(tmp_path / "src"))
-    for job, column, value in (("copy-daily", "event_day", 16071), ("copy-hourly", "yyyymm", "201401")):
-        main([
-            job, "--tags", str(tmp_path / "tags"), "--source-option", f"path={tmp_path}/src",
-            "--target-option", f"path={tmp_path}/{job}",
-        ])
+    for job, by, column, value in (
+        ("copy-daily", "yyyy", "event_day", 16071), ("copy-hourly", "yyyymm", "yyyymm", 201401),
+    ):
+        for _ in range(2):
+            main([
+                job, "--tags", str(tmp_path / "tags"), "--source-option", f"path={tmp_path}/src",
+                "--target-option", f"path={tmp_path}/{job}", "--keys", f"tag_id,latest_time,{by}", "--partition-by", by,
+            ])
         back = spark.read.parquet(str(tmp_path / job))
         assert rows(back.select("tag_id", column)) == [("a", value)]
 
@@ -100,8 +109,16 @@ def test_sync_cohorts_into_parquet(spark, tmp_path):
     ]
 
 
-def test_null_keys_fail_the_merge_unless_dropped(spark, tmp_path):
-    import pytest
+def test_load_of_nothing(spark, tmp_path, capsys):
+    spark.createDataFrame([], READINGS).write.parquet(str(tmp_path / "in"))
+    main([
+        "load-series", "--path", str(tmp_path / "in"), "--target-option", f"path={tmp_path}/out",
+        "--keys", "tag_id,data_quality,event_time,yyyymm", "--partition-by", "yyyymm", "--drop-null-keys",
+    ])
+    assert '{"dropped_null_keys": 0}' in capsys.readouterr().out
+
+
+def test_null_keys_fail_the_merge_unless_dropped(spark, tmp_path, capsys):
     from pyspark.errors import PySparkException
 
     data = [("a.1", 1, None, 1.0), ("a.2", 1, dt.datetime(2023, 6, 28), 1.0)]
@@ -113,6 +130,7 @@ def test_null_keys_fail_the_merge_unless_dropped(spark, tmp_path):
     with pytest.raises(PySparkException, match="null in key column"):
         main(command)
     main([*command, "--drop-null-keys"])
+    assert '{"dropped_null_keys": 1}' in capsys.readouterr().out
     assert [r.tag_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["a.2"]
 
 

@@ -186,6 +186,14 @@ NEW = [("a", None, "new"), ("c", 3, None), ("d", None, "d")]
 KV = "k string, n int, s string"
 
 
+@pytest.mark.parametrize("bound", [0, 10_000])
+def test_upsert_checks_a_declared_uniqueness(spark, bound):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    new = spark.createDataFrame([(2, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(Exception, match="repeat a key"):
+        upsert(old, new, ["k"], new_unique=True, broadcast_bytes=bound).collect()
+
+
 @pytest.mark.parametrize("broadcast_bytes", [0, 10_000, 2])
 def test_upsert_by_hand(spark, broadcast_bytes):
     old, new = spark.createDataFrame(OLD, KV), spark.createDataFrame(NEW, KV)

@@ -178,10 +178,12 @@ def test_cohort_rows(cohorts):
     assert {r.suid for r in cohort_rows(cohorts).collect()} == {"a", "b", "test", None}
 
 
-@pytest.mark.parametrize("bound", [0, 60, 10_000])
-def test_cohort_changes(cohorts, bound):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_cohort_changes(cohorts, conf, threshold):
+    conf({"spark.sql.autoBroadcastJoinThreshold": threshold})
+
     def changes(source, target, exclude=()):
-        return cohort_changes(source, target, exclude, broadcast_bytes=bound)
+        return cohort_changes(source, target, exclude)
 
     target = cohort_rows(cohorts)
     assert [r.suid for r in changes(cohorts, target).collect()] == [None]

@@ -18,6 +18,7 @@ from tableferry.operators import (
 from tableferry.plans import current_values, daily_series, raw_series
 from tableferry.plans.machines import ACTIVITY_TIMES
 from tableferry.sources import read_partitions, read_tree, write_partitions
+from tableferry.sources.scratch import stored
 
 NO_BROADCAST = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -145,7 +146,7 @@ def test_hot_key_is_split_in_change_detection(facts, keys, conf, final_plan):
 
 
 def test_few_changes_move_no_wide_rows(facts, first_plan):
-    few = facts.filter("id < 30").select("tag_id", "id")
+    few, _ = stored(facts.filter("id < 30").select("tag_id", "id"), "few")
     plan = first_plan(pick_rows(facts, few, ["tag_id", "id"]))
     assert "BroadcastHashJoin" in plan and "Exchange" not in plan.replace("BroadcastExchange", "")
 

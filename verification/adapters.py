@@ -50,21 +50,9 @@ def select_list(columns: dict[str, str]) -> str:
     return ",\n  ".join(f"{text} AS {name}" for name, text in columns.items())
 
 
-def derive(
-    spark: SparkSession, sf_dir: str, name: str, columns: dict[str, str], spread: bool = False
-) -> DataFrame:
-    """A table's columns by their texts.
-
-    ``spread`` is for costly columns: a scan with fewer tasks than the session
-    has cores (the given files are one row group each) is spread over all of
-    them first, as raw rows, by their leading columns (a round-robin spread
-    would sort them). A scan of many files or row groups is left alone.
-    """
-    df = table(spark, sf_dir, name)
-    width = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < width:
-        df = df.repartition(width, *df.columns[:2])
-    return df.select(*[F.expr(text).alias(out) for out, text in columns.items()])
+def derive(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, str]) -> DataFrame:
+    """A table's columns by their texts."""
+    return table(spark, sf_dir, name).select(*[F.expr(text).alias(out) for out, text in columns.items()])
 
 
 # --- readings and series -------------------------------------------------------------------

@@ -263,10 +263,10 @@ SELECT 'lineitem', 'main', '2024-02-01', '1', (SELECT count(*) FROM lineitem)
 """
 )
 def run_metadata(spark, sf_dir):
-    """Two exports with their audit lines; the counts are taken during the writes."""
+    """Two exports with their audit lines, the first one rerun; the counts are taken during the writes."""
     path, audit = scratch_path(spark, "export"), scratch_path(spark, "audit")
-    for name in ("orders", "lineitem"):
-        df = A.table(spark, sf_dir, name)
+    orders, lineitem = (A.table(spark, sf_dir, name) for name in ("orders", "lineitem"))
+    for name, df in (("orders", orders.filter("o_orderstatus <> 'P'")), ("orders", orders), ("lineitem", lineitem)):
         export_run(df, f"{path}/{name}", name, "main", "2024-02-01", "1", audit_path=audit)
     return read_tree(spark, audit, AUDIT_SCHEMA)
 
@@ -578,6 +578,68 @@ def ts_merge(spark, sf_dir):
     return read_partitions(spark, path, loaded.schema)
 
 
+def merged_often(spark, name, rows, keys, by, order_by, times=2):
+    """A keyed table after the same rows have been merged into it several times."""
+    path = scratch_path(spark, name)
+    for _ in range(times):
+        merge_partitions(spark, rows, path, rows.schema, keys, by, order_by=order_by)
+    return read_partitions(spark, path, rows.schema)
+
+
+@query(
+    f"""WITH {READINGS_CTE}, kept AS (SELECT *, strftime(event_time, '%Y%m') AS yyyymm FROM readings
+  WHERE tag_id IS NOT NULL AND data_quality IS NOT NULL)
+SELECT tag_id, data_quality, event_time, max(event_id) AS event_id, max_by(event_value, event_id) AS event_value, yyyymm
+FROM kept GROUP BY tag_id, data_quality, event_time, yyyymm"""
+)
+def load_rerun(spark, sf_dir):
+    """Readings that each come twice, loaded three times: one row per key."""
+    once = raw_series(A.derive(spark, sf_dir, "events", A.READINGS), sort=None)
+    columns = ["tag_id", "data_quality", "event_time", "event_id", "event_value", "yyyymm"]
+    keys = ["tag_id", "data_quality", "event_time", "yyyymm"]
+    rows = once.union(once).select(*columns)
+    return merged_often(spark, "load", rows, keys, ["yyyymm"], [("event_id", "desc")], times=3)
+
+
+@query(
+    f"""WITH {cte("daily", A.DAILY, "lineitem")}, {cte("tags", A.DAILY_TAGS, "orders")}
+SELECT tag_id, latest_time, max(daily_value) AS daily_value,
+  CAST(floor(epoch(latest_time) / 86400) AS bigint) AS event_day, CAST(year(latest_time) AS integer) AS yyyy
+FROM daily SEMI JOIN tags USING (tag_id) WHERE latest_time >= TIMESTAMP '1997-01-01' GROUP BY tag_id, latest_time"""
+)
+def daily_sink(spark, sf_dir):
+    """The daily copy merged twice into its keyed table, the largest value of a tag and day."""
+    rows = daily_by_keys(spark, sf_dir).select("tag_id", "latest_time", "daily_value", "event_day", "yyyy")
+    return merged_often(spark, "daily", rows, ["tag_id", "latest_time", "yyyy"], ["yyyy"], [("daily_value", "desc")])
+
+
+@query(
+    f"""WITH {cte("hourly", A.HOURLY, "events")}, {cte("tags", A.HOURLY_TAGS, "orders")}
+SELECT tag_id, latest_time, max(hourly_value) AS hourly_value, strftime(latest_time, '%Y%m') AS yyyymm
+FROM hourly SEMI JOIN tags USING (tag_id) WHERE latest_time >= TIMESTAMP '2013-01-01' GROUP BY tag_id, latest_time"""
+)
+def hourly_sink(spark, sf_dir):
+    """The hourly copy merged twice into its keyed table."""
+    rows = hourly_by_keys(spark, sf_dir).select("tag_id", "latest_time", "hourly_value", "yyyymm")
+    return merged_often(spark, "hourly", rows, ["tag_id", "latest_time", "yyyymm"], ["yyyymm"], [("hourly_value", "desc")])
+
+
+@query(
+    f"""WITH {READINGS_CTE}, newest AS (SELECT *, row_number() OVER (PARTITION BY tag_id, data_quality
+  ORDER BY event_time DESC, event_id) AS rn FROM readings WHERE tag_id IS NOT NULL AND data_quality <> 0)
+SELECT tag_id, max(event_time) AS event_time, arg_max(event_value, (event_time, -event_id)) AS event_value,
+  arg_max(event_id, (event_time, -event_id)) AS event_id
+FROM newest WHERE rn = 1 GROUP BY tag_id"""
+)
+def current_sink(spark, sf_dir):
+    """Current values upserted twice into a table keyed by tag: of a tag's qualities the newest reading stays."""
+    rows = current_value(spark, sf_dir).select("tag_id", "event_time", "event_value", "event_id")
+    state, order = spark.createDataFrame([], rows.schema), [("event_time", "desc"), ("event_id", "asc")]
+    for _ in range(2):
+        state = upsert(state, rows, ["tag_id"], order_by=order)
+    return state
+
+
 # --- checksums and change detection --------------------------------------------------------
 
 EVENT_CHECKSUM_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -615,7 +677,7 @@ COHORT_CTE = cte("cohorts", A.cohort_source("duck"), "orders")
        f"{cohort_checksum_sql('|')} AS separated FROM cohorts")
 def checksum_nested(spark, sf_dir):
     """Row checksum over scalars, arrays and maps, without and with a separator."""
-    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"), spread=True)
+    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"))
     return source.select(
         "cohort_id",
         row_checksum(source, CHECKSUM_COLUMNS).alias("checksum"),
@@ -658,8 +720,8 @@ SYNC_CTES = ",\n".join(
 
 
 def cohort_sides(spark, sf_dir):
-    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"), spread=True)
-    earlier = A.derive(spark, sf_dir, "orders", A.cohort_target_source("spark"), spread=True)
+    source = A.derive(spark, sf_dir, "orders", A.cohort_source("spark"))
+    earlier = A.derive(spark, sf_dir, "orders", A.cohort_target_source("spark"))
     target = cohort_rows(earlier)
     return source, target
 
@@ -673,9 +735,9 @@ def sync_changed(spark, sf_dir):
 
 @query(f"WITH {SYNC_CTES} SELECT {flat_sql(column_types(COHORT_TARGET), {})} FROM changed")
 def sync_changed_narrow(spark, sf_dir):
-    """The same rows, found by comparing ids and checksums alone and picked from a second scan."""
+    """The same rows against a target that holds each row twice: copies neither add nor lose rows."""
     source, target = cohort_sides(spark, sf_dir)
-    return flat(cohort_changes(source, target, EXCLUDED, broadcast_bytes=256 << 20))
+    return flat(cohort_changes(source, target.union(target), EXCLUDED))
 
 
 @query(
@@ -745,8 +807,8 @@ def high_water_text(spark, sf_dir):
 MACHINE_CTE = cte("machines", A.machine_source("duck"), "lineitem")
 
 
-def machines_of(spark, sf_dir, spread=False):
-    return A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"), spread)
+def machines_of(spark, sf_dir):
+    return A.derive(spark, sf_dir, "lineitem", A.machine_source("spark"))
 
 
 @query(
@@ -858,7 +920,7 @@ MACHINE_WINDOW = (
 
 
 def machine_window_rows(spark, sf_dir):
-    machines = machines_of(spark, sf_dir, spread=True)
+    machines = machines_of(spark, sf_dir)
     return machine_snapshot(machines, "2024-02-01", low="1994-01-01", as_of="2000-06-01")
 
 
@@ -897,7 +959,7 @@ FROM products"""
 )
 def machine_products(spark, sf_dir):
     """Products in use, one row each: map to array, default inside the struct, element filter."""
-    machines = machines_of(spark, sf_dir, spread=True)
+    machines = machines_of(spark, sf_dir)
     rows = machines.select("suid", F.explode(products_in_use("leids")).alias("p"))
     return rows.select(
         "suid",
@@ -936,7 +998,7 @@ FROM machines"""
 )
 def struct_by_name(spark, sf_dir):
     """Structs inside a map brought to another field list by name."""
-    machines = machines_of(spark, sf_dir, spread=True)
+    machines = machines_of(spark, sf_dir)
     target = StructType.fromDDL("m map<string,struct<nglapp boolean, leid string, added int>>")
     shaped = reshape(F.col("leids"), machines.schema["leids"].dataType, target["m"].dataType)
     return flat(machines.select("suid", F.map_values(shaped).alias("leids")))

@@ -56,8 +56,8 @@ def shapes(spark, sf_dir):
     def semi():
         drain(daily_series(daily, tags, since=since))
 
-    source = cohort_rows(A.derive(spark, sf_dir, "orders", A.cohort_source("spark"), spread=True))
-    target = cohort_rows(A.derive(spark, sf_dir, "orders", A.cohort_target_source("spark"), spread=True))
+    source = cohort_rows(A.derive(spark, sf_dir, "orders", A.cohort_source("spark")))
+    target = cohort_rows(A.derive(spark, sf_dir, "orders", A.cohort_target_source("spark")))
     on = ["suid", "checksum"]
 
     def outer_then_filter():
