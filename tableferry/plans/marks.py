@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..functions.timecols import MS_FORMAT
 from ..operators.incremental import high_water
 from .machines import ACTIVITY_TIMES
 
-# Fixed value: text form of exported event times.
-EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
-
 
 def audit_mark(exported: DataFrame) -> DataFrame:
     """Newest event time of exported audit events, which hold it as text."""
-    return high_water(exported, "event_time", EVENT_TIME_FORMAT)
+    return high_water(exported, "event_time", MS_FORMAT)
 
 
 def machine_mark(exported: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ def rows(df):
 
 
 def test_load_series_twice_keeps_one_copy(spark, tmp_path, capsys):
-    at = dt.datetime(2023, 6, 28)
+    at = dt.datetime(2021, 3, 4)
     data = [("a.1", 1, at, 1.0), ("a.1", 0, at, 2.0), (None, 1, at, 3.0)]
     spark.createDataFrame(data, READINGS).write.parquet(str(tmp_path / "in/deep/er"))
     command = [
@@ -30,7 +30,7 @@ def test_load_series_twice_keeps_one_copy(spark, tmp_path, capsys):
 
 
 def test_load_current(spark, tmp_path):
-    data = [("a.1", 1, dt.datetime(2023, 6, d), float(d)) for d in (1, 2)]
+    data = [("a.1", 1, dt.datetime(2021, 3, d), float(d)) for d in (1, 2)]
     spark.createDataFrame(data, READINGS).write.parquet(str(tmp_path / "in"))
     command = ["load-current", "--path", str(tmp_path / "in"), "--target-option", f"path={tmp_path}/out"]
     with pytest.raises(SystemExit, match="no keys"):
@@ -121,7 +121,7 @@ def test_load_of_nothing(spark, tmp_path, capsys):
 def test_null_keys_fail_the_merge_unless_dropped(spark, tmp_path, capsys):
     from pyspark.errors import PySparkException
 
-    data = [("a.1", 1, None, 1.0), ("a.2", 1, dt.datetime(2023, 6, 28), 1.0)]
+    data = [("a.1", 1, None, 1.0), ("a.2", 1, dt.datetime(2021, 3, 4), 1.0)]
     spark.createDataFrame(data, READINGS).write.parquet(str(tmp_path / "in"))
     command = [
         "load-series", "--path", str(tmp_path / "in"), "--target-option", f"path={tmp_path}/out",

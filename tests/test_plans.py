@@ -50,27 +50,29 @@ def test_column_types_agree_with_the_parser(spark):
 
 @pytest.fixture
 def readings(spark):
-    at = [dt.datetime(2023, 6, 28, 0, 0, s) for s in (1, 2, 3)]
     data = [
-        (tag, quality, t, float(i + 1))
-        for tag, quality in [("mno.1", 1), ("mno.1", 0), ("mno.1", 3), ("mno.1.uuuu", 1)]
-        for i, t in enumerate(at)
+        ("kiln/4.heat", 2, dt.datetime(2021, 3, 4, 6, 30), 71.5),
+        ("kiln/4.heat", 2, dt.datetime(2021, 3, 4, 18, 0), 68.25),
+        ("kiln/4.heat", 0, dt.datetime(2021, 3, 5), 12.0),
+        ("fan", 1, dt.datetime(2021, 4, 1), 9.0),
+        ("fan", 1, dt.datetime(2021, 3, 31, 23, 59, 59), 8.0),
+        (None, 1, dt.datetime(2021, 3, 4), 1.0),
+        ("belt", None, dt.datetime(2021, 3, 4), 1.0),
+        ("oven", 1, None, 1.0),
     ]
-    data += [(None, 1, at[0], 1.0), ("mno.2", None, at[0], 1.0), ("mno.3", 1, None, 1.0)]
     return spark.createDataFrame(data, READINGS)
 
 
 def test_raw_series(readings):
     rows = raw_series(readings).collect()
-    assert len(rows) == 13
-    assert [(r.tag_id, r.data_quality, r.event_value) for r in rows[:4]] == [
-        ("mno.1", 0, 3.0),
-        ("mno.1", 0, 2.0),
-        ("mno.1", 0, 1.0),
-        ("mno.1", 1, 3.0),
+    assert [(r.tag_id, r.data_quality, r.event_value, r.yyyymm) for r in rows] == [
+        ("fan", 1, 9.0, "202104"),
+        ("fan", 1, 8.0, "202103"),
+        ("kiln/4.heat", 0, 12.0, "202103"),
+        ("kiln/4.heat", 2, 68.25, "202103"),
+        ("kiln/4.heat", 2, 71.5, "202103"),
+        ("oven", 1, 1.0, None),
     ]
-    assert {r.yyyymm for r in rows if r.tag_id != "mno.3"} == {"202306"}
-    assert [r.yyyymm for r in rows if r.tag_id == "mno.3"] == [None]
     assert sorted(raw_series(readings, sort=None).collect()) == sorted(
         raw_series(readings, sort="within").collect()
     )
@@ -84,10 +86,10 @@ def test_readings_audit(readings):
 
 
 def test_current_values(readings):
-    out = current_values(readings.filter("tag_id <> 'mno.3'"))
+    out = current_values(readings.filter("tag_id <> 'oven'"))
     assert out.columns == ["tag_id", "event_time", "event_value", "asset_id"]
     rows = sorted((r.tag_id, r.event_value, r.asset_id) for r in out.collect())
-    assert rows == [("mno.1", 3.0, "mno"), ("mno.1", 3.0, "mno"), ("mno.1.uuuu", 3.0, "mno")]
+    assert rows == [("fan", 9.0, "fan"), ("kiln/4.heat", 68.25, "kiln/4")]
 
 
 def test_series_copies(spark):
