@@ -1,97 +1,152 @@
 """Balanced label propagation: linked documents gather in shards of equal row counts.
 
-Documents are linked through hubs (here: equal texts). Every round counts, per
-hub, how many of its documents each shard holds, and moves documents towards the
-hub's fullest shard that still has room. Documents without links then fill the
-shards up to counts at most one apart.
+Documents are linked through hubs (here: equal texts), each through one at most.
+A hub takes the label that most of its documents start with, if that shard has
+room for all of them, or else that of the best open shard; the largest hubs choose
+first. As no document has two hubs, one round settles all. Documents without
+links then fill the shards up to counts at most one apart.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tableferry.sources.scratch import discard, stored
+from tableferry.sources.scratch import stored
 
 BUCKETS = 4096
-ROUNDS = 6
-# A hub's share of a shard from which its documents move one by one, not together.
-LARGE = 64
+# What a row's place rests on, in the order in which rows move on to even the counts out.
+ALONE, SPLIT, WHOLE = 0, 1, 2
 
 
-def _unit(*values: Column) -> Column:
-    """A fixed pseudo-random number from 0 to 1."""
-    return F.pmod(F.xxhash64(*values), F.lit(1 << 40)) / float(1 << 40)
+def _quota(total: int, shards: int) -> list[int]:
+    """Rows of each shard, at most one apart."""
+    return [total // shards + (s < total % shards) for s in range(shards)]
 
 
-def _per_shard(numbers: list[float], shard: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(float(x)) for x in numbers]), shard + 1)
+def _pack(cells: dict[int, dict[int, int]], quota: list[int], keep: bool, reserve: bool) -> tuple[int, dict]:
+    """Shards for hubs, given how many there are of each size and label.
 
-
-def _by_shard(rows: DataFrame, shard: str, n: str, shards: int) -> list[int]:
-    found = {r[shard]: r["total"] for r in rows.groupBy(shard).agg(F.sum(n).alias("total")).collect()}
-    return [found.get(s, 0) for s in range(shards)]
+    Returns how many hubs are split that are no larger than a shard, and per
+    (size, label) what its hubs get, as (shards, level, hubs) in turn. With
+    ``keep`` a hub stays at its label where that has room; with ``reserve`` hubs
+    larger than a shard fill whole shards before all others.
+    """
+    room, late, split = list(quota), [], 0
+    got: dict[tuple[int, int], list[tuple[list[int], int, int]]] = {}
+
+    def put(n: int, left: dict[int, int], label: int, shard: int) -> None:
+        fit = min(left[label], max(0, room[shard]) // n)
+        if fit:
+            got.setdefault((n, label), []).append(([shard], WHOLE, fit))
+            left[label] -= fit
+            room[shard] -= fit * n
+
+    for n in sorted(cells, reverse=True):
+        left = dict(sorted(cells[n].items()))
+        if n > max(quota):
+            for label, hubs in left.items():
+                for _ in range(hubs):
+                    rest, taken = n, []
+                    for s in sorted(range(len(quota)), key=lambda s: (s != label, s)):
+                        if reserve and 0 < room[s] == quota[s] <= rest:
+                            taken.append(s)
+                            rest, room[s] = rest - room[s], 0
+                    got.setdefault((n, label), []).append((taken, SPLIT, 1))
+            continue
+        for label in left if keep else ():
+            put(n, left, label, label)
+        # the shard with the least room that is enough
+        for shard in sorted(range(len(quota)), key=lambda s: (room[s], s)):
+            for label in left:
+                put(n, left, label, shard)
+        late += [(n, label, hubs) for label, hubs in left.items() if hubs]
+    for n, label, hubs in late:
+        split += hubs
+        for _ in range(hubs):
+            shard = max(range(len(quota)), key=lambda s: (room[s], -s))
+            got.setdefault((n, label), []).append(([shard], SPLIT, 1))
+            room[shard] -= n
+    return split, got
+
+
+def propagate(links: DataFrame, quota: list[int], buckets: int = BUCKETS) -> DataFrame:
+    """``hub, targets, level`` for ``links`` of ``hub, label``, a row per document.
+
+    The level is WHOLE where all the hub's documents fit its one target; no shard
+    gets more than its quota of these. A hub is split only if it is larger than a
+    shard (it may then have several targets, or none: its documents keep their
+    labels), or if the larger ones left no shard with room for it; of four ways to
+    pack the one that splits fewest is taken (the best of all is not searched for).
+
+    Hubs are counted per size, label and hash bucket, with the fewer buckets the
+    larger the size; from these counts the driver works out what each bucket's
+    hubs get. Their number grows with that of the different sizes, which is at
+    most the square root of twice the rows.
+    """
+    spark = links.sparkSession
+    votes = links.groupBy("hub", "label").agg(F.count("*").alias("n"))
+    weight = F.struct(F.col("n"), F.xxhash64("hub", "label").alias("tie"), F.col("label"))
+    hubs = votes.groupBy("hub").agg(F.sum("n").alias("n"), F.max(weight)["label"].alias("label")).where(F.col("n") > 1)
+    bucket = F.pmod(F.xxhash64(F.lit("hub"), "hub"), F.greatest(F.lit(1), F.lit(buckets) / F.col("n")).cast("long"))
+    # stored, so that counts and places are of the same rows
+    hubs, _ = stored(hubs.withColumn("bucket", bucket), "hubs")
+    counted = sorted(tuple(r) for r in hubs.groupBy("n", "label", "bucket").count().collect())
+    cells: dict[int, dict[int, int]] = {}
+    for n, label, _, count in counted:
+        cells.setdefault(n, {}).setdefault(label, 0)
+        cells[n][label] += count
+    got: dict = {}
+    fewest = None
+    for keep, reserve in ((True, True), (False, True), (True, False), (False, False)):
+        split, tried = _pack(cells, quota, keep, reserve)
+        if fewest is None or split < fewest:
+            fewest, got = split, tried
+        if not fewest:
+            break
+    plan = []
+    for n, label, number, count in counted:
+        queue, first = got[n, label], 0
+        while first < count:
+            targets, level, many = queue[0]
+            end = min(count, first + many)
+            plan.append((n, label, number, first, end, targets, level))
+            if many > end - first:
+                queue[0] = (targets, level, many - (end - first))
+            else:
+                queue.pop(0)
+            first = end
+    plan = spark.createDataFrame(
+        plan or [(0, 0, 0, 0, 0, [], 0)],
+        "n long, label int, bucket long, first long, end long, targets array<int>, level int",
+    )
+    near = Window.partitionBy("n", "label", "bucket").orderBy("hub")
+    placed = hubs.withColumn("nth", F.row_number().over(near) - 1).join(F.broadcast(plan), ["n", "label", "bucket"])
+    placed = placed.where((F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("end")))
+    return placed.select("hub", "targets", "level")
 
 
-def propagate(links: DataFrame, shards: int, capacity: int, rounds: int = ROUNDS) -> DataFrame:
-    """``uid, label`` after the rounds, for ``links`` of ``uid, hub, label``: each uid once.
+def _plan(cells: list[tuple[int, int, int, int]], quota: list[int]) -> tuple[list[tuple], list[tuple[int, int, int, int]]]:
+    """What each cell gives up and where that goes, so that each shard holds its quota.
 
-    A hub's documents go to its fullest shard among those with room, the whole
-    hub at once or, where it is large, as many as fit. No shard is meant to take
-    more than ``capacity``. The driver sees two numbers per shard and round.
-    """
-    state, path = stored(links, "labels")
-    for step in range(rounds):
-        cells = state.groupBy("hub", "label").agg(F.count("*").alias("n"))
-        room = [max(0, capacity - held) for held in _by_shard(cells, "label", "n", shards)]
-        cells = cells.withColumn("weight", F.struct(F.col("n"), F.xxhash64("hub", "label").alias("tie"), "label"))
-        open_cells = cells.where(_per_shard(room, F.col("label")) > 0)
-        goals = open_cells.groupBy("hub").agg(F.max("weight").alias("goal"))
-        moves = cells.join(goals, "hub").where(F.col("goal") > F.col("weight"))
-        moves = moves.select("hub", "label", "n", F.col("goal.label").alias("target"))
-        moves, moves_path = stored(moves, "moves")
-        asked = _by_shard(moves, "target", "n", shards)
-        if not any(asked):
-            discard(state.sparkSession, moves_path)
-            break
-        share = [min(1.0, r / a) if a else 0.0 for r, a in zip(room, asked)]
-        who = F.when(F.col("n") * LARGE > capacity, F.xxhash64("uid")).otherwise(F.xxhash64("hub"))
-        accepted = _unit(who, F.lit(step)) < _per_shard(share, F.col("target"))
-        nxt = state.join(moves, ["hub", "label"], "left").select(
-            "uid", "hub", F.when(F.col("target").isNotNull() & accepted, F.col("target")).otherwise(F.col("label")).alias("label")
-        )
-        nxt, nxt_path = stored(nxt, "labels")
-        discard(state.sparkSession, path)
-        discard(state.sparkSession, moves_path)
-        state, path = nxt, nxt_path
-    return state.select("uid", "label")
-
-
-def _plan(cells: list[tuple[int, bool, int, int]], shards: int) -> tuple[list[tuple], list[tuple[int, int, int, int]]]:
-    """What each cell gives up and where that goes, so that counts are at most one apart.
-
-    ``cells`` are (label, linked, bucket, rows). Returns per cell (label, linked,
+    ``cells`` are (label, level, bucket, rows). Returns per cell (label, level,
     bucket, given up, their first place among all given up, first slot of those
     that stay), and per receiving shard (first place, end, shard, first slot).
     """
+    shards = len(quota)
     held = [0] * shards
     for label, _, _, n in cells:
         held[label] += n
-    total = sum(held)
-    fullest = sorted(range(shards), key=lambda s: (-held[s], s))
-    quota = [total // shards] * shards
-    for s in fullest[: total % shards]:
-        quota[s] += 1
     surplus = [max(0, h - q) for h, q in zip(held, quota)]
     place, slot, out = 0, [0] * shards, []
-    # unlinked rows go first: False sorts before True
-    for label, linked, bucket, n in sorted(cells):
+    # rows that are alone go first, those of whole hubs last
+    for label, level, bucket, n in sorted(cells):
         give = min(n, surplus[label])
         surplus[label] -= give
-        out.append((label, linked, bucket, give, place, slot[label]))
+        out.append((label, level, bucket, give, place, slot[label]))
         place += give
         slot[label] += n - give
     wanted = [max(0, q - h) for h, q in zip(held, quota)]
@@ -99,24 +154,24 @@ def _plan(cells: list[tuple[int, bool, int, int]], shards: int) -> tuple[list[tu
     return out, [(e - w, e, s, slot[s]) for s, (w, e) in enumerate(zip(wanted, ends)) if w]
 
 
-def even_out(rows: DataFrame, shards: int, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``shard`` and ``slot`` to rows of ``uid, label, linked``: counts at most one apart, slots gapless.
+def even_out(rows: DataFrame, quota: list[int], buckets: int = BUCKETS) -> DataFrame:
+    """Add ``shard`` and ``slot`` to rows of ``uid, label, level``: each shard holds its quota, slots gapless.
 
-    Rows are counted per shard and hash bucket; from these counts, at most
-    ``2 * shards * buckets`` numbers, the driver works out how many rows of each
+    Rows are counted per shard, level and hash bucket; from these counts, at most
+    ``3 * shards * buckets`` numbers, the driver works out how many rows of each
     bucket move on, so a row needs its place within its bucket only.
     """
     spark: SparkSession = rows.sparkSession
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int"))
-    counted = rows.groupBy("label", "linked", "bucket").count().collect()
-    cells, receivers = _plan([tuple(r) for r in counted], shards)
+    counted = rows.groupBy("label", "level", "bucket").count().collect()
+    cells, receivers = _plan([tuple(r) for r in counted], quota)
     plan = spark.createDataFrame(
-        cells or [(0, False, 0, 0, 0, 0)],
-        "label int, linked boolean, bucket int, give long, place long, first long",
+        cells or [(0, 0, 0, 0, 0, 0)],
+        "label int, level int, bucket int, give long, place long, first long",
     )
-    near = Window.partitionBy("label", "linked", "bucket").orderBy("uid")
+    near = Window.partitionBy("label", "level", "bucket").orderBy("uid")
     # the plan has a bounded number of rows, whatever the input
-    out = rows.withColumn("nth", F.row_number().over(near) - 1).join(F.broadcast(plan), ["label", "linked", "bucket"])
+    out = rows.withColumn("nth", F.row_number().over(near) - 1).join(F.broadcast(plan), ["label", "level", "bucket"])
     place = F.col("place") + F.col("nth")
     shard, slot = F.lit(None).cast("int"), F.lit(None).cast("long")
     for start, end, number, first in receivers:
@@ -125,22 +180,20 @@ def even_out(rows: DataFrame, shards: int, buckets: int = BUCKETS) -> DataFrame:
         slot = F.when(here, place - start + first).otherwise(slot)
     stays = F.col("nth") >= F.col("give")
     return out.select(
-        *[c for c in rows.columns if c not in ("label", "linked", "bucket")],
+        *[c for c in rows.columns if c not in ("label", "level", "bucket")],
         F.when(stays, F.col("label")).otherwise(shard).cast("int").alias("shard"),
         F.when(stays, F.col("first") + F.col("nth") - F.col("give")).otherwise(slot).cast("long").alias("slot"),
     )
 
 
-def shard_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 8, rounds: int = ROUNDS
-) -> DataFrame:
+def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 8) -> DataFrame:
     """``doc_id, size, text_crc32, group, shard, slot`` of every row; row counts of shards are at most one apart.
 
     ``size`` is the text's bytes plus 1, ``group`` stands for equal texts, and
-    groups stay together as far as the counts allow; one that is larger than a
-    shard spreads over several. Null texts have size 1, a null checksum and no
-    group. Repeated rows and ids are separate rows; a null id is kept as it is.
-    Other columns are ignored. An empty table gives no rows.
+    groups stay together as far as the counts allow (see :func:`propagate`); one
+    that is larger than a shard spreads over several. Null texts have size 1, a
+    null checksum and no group. Repeated rows and ids are separate rows; a null
+    id is kept as it is. Other columns are ignored. An empty table gives no rows.
     """
     base = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -151,15 +204,15 @@ def shard_documents(
     )
     # written once, so that a row keeps its number however often it is read
     base, _ = stored(base, "shard-rows")
-    total = base.count()
+    quota = _quota(base.count(), shards)
     start = F.pmod(F.xxhash64(F.lit("start"), "uid"), F.lit(shards)).cast("int")
-    hubs = base.where(F.col("group").isNotNull()).groupBy("group").count().where(F.col("count") > 1).select("group")
+    links = base.where(F.col("group").isNotNull()).select(F.col("group").alias("hub"), start.alias("label"))
     # stored, so that the join has two fresh exchanges and a large group can be split
-    hubs, _ = stored(hubs, "hubs")
-    links = base.join(hubs, "group", "left_semi").select("uid", F.col("group").alias("hub"), start.alias("label"))
-    labels = propagate(links, shards, total // shards, rounds)
-    labels = labels.select(F.col("uid").alias("linked_uid"), "label")
-    rows = base.join(labels, F.col("uid") == F.col("linked_uid"), "left").select(
-        *base.columns, F.coalesce("label", start).alias("label"), F.col("linked_uid").isNotNull().alias("linked")
+    hubs, _ = stored(propagate(links, quota), "placed")
+    many = F.size("targets")
+    pick = F.pmod(F.xxhash64(F.lit("pick"), "uid"), many).cast("int")
+    label = F.when(many > 0, F.get("targets", pick)).otherwise(start)
+    rows = base.join(hubs, F.col("group") == F.col("hub"), "left").select(
+        *base.columns, label.alias("label"), F.coalesce("level", F.lit(ALONE)).alias("level")
     )
-    return even_out(rows, shards).drop("uid")
+    return even_out(rows, quota).drop("uid")

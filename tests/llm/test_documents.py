@@ -190,3 +190,36 @@ def test_shards_of_few_rows(docs_of, n):
     assert len(found) == n
     if n:
         check_shards(found, 8)
+
+
+def split_groups(found):
+    """The sizes of the groups that are on several shards."""
+    held = {}
+    for r in found:
+        held.setdefault(r["group"], []).append(r["shard"])
+    return [len(s) for s in held.values() if len(set(s)) > 1]
+
+
+@pytest.mark.parametrize("size", [2, 3, 5])
+def test_groups_stay_whole_where_every_row_is_linked(docs_of, size):
+    rows = [(i, f"text {i // size}") for i in range(8 * 60 * size)]
+    found = sharding.shard_documents(docs_of(rows)).collect()
+    check_shards(found, 8)
+    assert split_groups(found) == []
+
+
+def test_groups_stay_whole_beside_a_text_on_a_third_of_the_rows(docs_of):
+    rows = [(i, "same") for i in range(800)] + [(1000 + i, f"text {i // 4}") for i in range(1600)]
+    found = sharding.shard_documents(docs_of(rows)).collect()
+    check_shards(found, 8)
+    assert split_groups(found) == [800]
+
+
+def test_groups_of_many_sizes(docs_of):
+    rng = random.Random(4)
+    sizes = [rng.choice([2, 3, 4, 7, 20, 55]) for _ in range(300)]
+    texts = [f"text {i}" for i, n in enumerate(sizes) for _ in range(n)]
+    found = sharding.shard_documents(docs_of([*enumerate(texts)])).collect()
+    check_shards(found, 8)
+    # only what is left when every shard is all but full
+    assert len(split_groups(found)) < 8
