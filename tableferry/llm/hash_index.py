@@ -20,6 +20,8 @@ SUBSTRING_BITS = 16
 # Rows that the rotation and radius are learned from, at most about so many, and queries tried on them.
 FIT_ROWS, FIT_QUERIES = 10_000, 256
 FIT_RECALL = 0.97
+# The part of these queries, those with the farthest neighbours, that has to reach the recall by itself.
+HARD_PART = 0.1
 # Rows of a block of the index and of a set of queries that one task holds together.
 BLOCK_ROWS, QUERY_ROWS = 8_192, 4_096
 
@@ -79,8 +81,11 @@ class Codes:
 def fit(sample: np.ndarray, longest: float, k: int, rounds: int = 30, recall: float = FIT_RECALL) -> Codes:
     """Principal directions, then the rotation under which signs lose least; the radius from exact neighbours.
 
-    The neighbours within a sample are farther than those within the whole
-    table, so the radius errs to the safe side.
+    The queries tried are spread over the whole sample, whatever its order. The
+    radius holds the recall for the hardest of them too, so rows far from all
+    others are found where most rows have close copies. The neighbours within a
+    sample are farther than those within the whole table, so the radius errs to
+    the safe side.
     """
     lifted = _lift(sample, longest)
     mean = lifted.mean(axis=0)
@@ -93,15 +98,17 @@ def fit(sample: np.ndarray, longest: float, k: int, rounds: int = 30, recall: fl
         left, _, right = np.linalg.svd(np.where(flat @ rotation > 0, 1.0, -1.0).T @ flat)
         rotation = (left @ right).T
     codes = Codes(mean, main @ rotation, longest, main.shape[1])
-    queries = sample[:FIT_QUERIES]
+    tried = np.random.default_rng(1).choice(len(sample), min(FIT_QUERIES, len(sample)), replace=False)
+    queries = sample[tried]
     coded, aimed = codes.of(lifted), codes.of(_aim(queries, longest))
     apart = []
     for i, query in enumerate(queries):
         scores = products(sample, query)
-        scores[i] = -np.inf
+        scores[tried[i]] = -np.inf
         near = best(scores, np.arange(len(scores)), min(k, max(1, len(sample) - 1)))
         apart.append(np.bitwise_count(coded[near] ^ aimed[i]))
-    codes.radius = int(np.ceil(np.quantile(np.concatenate(apart), recall)))
+    hardest = sorted(apart, key=np.mean)[-max(1, round(HARD_PART * len(apart))) :]
+    codes.radius = int(np.ceil(np.quantile(np.concatenate(hardest), recall)))
     return codes
 
 

@@ -148,6 +148,24 @@ def test_every_code_within_the_radius_is_found():
             assert block.within(code, radius).tolist() == near.tolist()
 
 
+@pytest.mark.parametrize("tight", [0.5, 0.9])
+def test_neighbours_where_ids_follow_the_source(tight):
+    rng = np.random.default_rng(8)
+    n, k = 6000, 10
+    copies = int(n * tight)
+    rows = np.repeat(rng.standard_normal((copies // 100, 32)), 100, axis=0)
+    rows = np.r_[rows + 0.01 * rng.standard_normal(rows.shape), rng.standard_normal((n - copies, 32))]
+    codes = hash_index.fit(rows, float(np.sqrt((rows**2).sum(axis=1).max())), k)
+    block = hash_index.Block(codes, np.arange(n), rows)
+    for part in (range(0, copies, copies // 50), range(copies, n, (n - copies) // 50)):
+        hits = 0
+        for q, code in zip(part, codes.of(hash_index._aim(rows[part], codes.longest))):
+            scores = hash_index.products(rows, rows[q])
+            scores[q] = -np.inf
+            hits += len(set(hash_index.best(scores, np.arange(n), k)) & set(block.search(q, rows[q], code, k)[0]))
+        assert hits / (k * len(part)) >= 0.9
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]),
