@@ -44,6 +44,12 @@ IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![
 LOCAL_PHONE = re.compile(r"(?<![\w+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![\w-])")
 NATIONAL_ID = re.compile(r"(?<![\w-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![\w-])")
 NOT_DIGIT = re.compile(r"[^0-9]+")
+# Characters of an account number by country.
+IBAN_SIZES = {country: int(size) for size, countries in (part.split(":") for part in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+).split()) for country in countries.split(",")}
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -105,10 +111,33 @@ def _base(text: str) -> Iterator[tuple[str, int, int]]:
             yield "phone", *m.span()
 
 
+def _iban_end(run: str) -> int:
+    """Where the account number ends that a run of groups starts with, 0 if with none.
+
+    A run can hold words and numbers that follow. The number ends where its
+    country's size does, or else with the run; that of an unknown country may end
+    with any group.
+    """
+    ends = [i for i, c in enumerate(run) if c == " "] + [len(run)]
+    size = {end: end - spaces for spaces, end in enumerate(ends)}
+    known = IBAN_SIZES.get(run[:2])
+    tried = [end for end in reversed(ends) if known in (None, size[end])] + [len(run)] * (known is not None)
+    return next((end for end in tried if 15 <= size[end] <= 34 and mod97(run[:end])), 0)
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """A run without one is tried again from its next group on."""
+    m = IBAN.search(text)
+    while m:
+        end = m.start() + _iban_end(m[0])
+        if end > m.start():
+            yield m.start(), end
+        m = IBAN.search(text, max(end, m.start() + 1))
+
+
 def _added(text: str) -> Iterator[tuple[str, int, int]]:
-    for m in IBAN.finditer(text):
-        if 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0]):
-            yield "iban", *m.span()
+    for start, end in _ibans(text):
+        yield "iban", start, end
     for m in LOCAL_PHONE.finditer(text):
         yield "local_phone", *m.span()
     for m in NATIONAL_ID.finditer(text):

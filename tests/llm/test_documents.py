@@ -142,6 +142,22 @@ def test_checksums_and_context():
     assert near.score > far.score
 
 
+@pytest.mark.parametrize("code", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432", "NO9386011117947"])
+@pytest.mark.parametrize("after", ["", " BIC COBADEFF", " 2024-01-02", " A NEW ONE", " 12", " AND GB82 WEST 1234 5698 7654 32", ". A", " Bank"])
+@pytest.mark.parametrize("before", ["", "IBAN ", "REF AB12 ", "XY00 1234 "])
+def test_account_numbers_among_capitals_and_numbers(code, after, before):
+    text = before + code + after
+    found = [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"]
+    assert found == [code] + ["GB82 WEST 1234 5698 7654 32"] * ("WEST" in after)
+    assert pii.redact(text, pii.find(text)).startswith(f"{before}<IBAN>")
+
+
+def test_account_numbers_of_other_countries():
+    check = next(f"{n:02}" for n in range(2, 99) if pii.mod97(f"ZZ{n:02}ABCD1234567890"))
+    text = f"ZZ{check} ABCD 1234 5678 90 THE END"
+    assert [text[s.start : s.end] for s in pii.find(text)] == [text[:22]]
+
+
 def test_redaction_and_columns(docs_of):
     rows = [(1, "é mail a.b@c.de, +1 (456) 555-2186."), (2, None), (3, ""), (4, "clean"), (4, "clean")]
     docs = docs_of(rows, clash=True)
