@@ -19,11 +19,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is recognised.
 
     Texts that are null or have no letter go, and those unlike every language
-    learned. Where no row has a language to learn from, nothing is rejected.
+    learned. Where no language could be learned, nothing is rejected.
     """
-    if docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).isEmpty():
+    profiles = langid.learn_unheld(docs)
+    if not profiles.names:
         return docs
-    found = langid.predict_languages(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), "in_doc_id", "in_text", "in_lang")
+    found = langid.with_language(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), "in_text", profiles)
     kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
 

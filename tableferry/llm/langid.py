@@ -161,13 +161,16 @@ def with_language(docs: DataFrame, text_col: str, profiles: Profiles, lang_col:
     return docs.select(*[F.col(f"`{c}`") for c in others]).mapInArrow(run, T.StructType(fields))
 
 
+def learn_unheld(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fit) -> Profiles:
+    """Learn from the labelled rows that have an id and are not held out."""
+    return learn(docs.where(remainder(F.col(id_col)) != 2), text_col, lang_col, id_col, **fit)
+
+
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fit) -> DataFrame:
     """Learn from the rows that are not held out and predict for all: adds ``held_out, lang_pred, score``.
 
     Held out are the rows whose id has remainder 2. A row without id is neither
     held out nor learned from.
     """
-    rest = remainder(F.col(id_col))
-    profiles = learn(docs.where(rest != 2), text_col, lang_col, id_col, **fit)
-    found = with_language(docs, text_col, profiles)
-    return found.withColumn("held_out", F.coalesce(rest == 2, F.lit(False)))
+    found = with_language(docs, text_col, learn_unheld(docs, id_col, text_col, lang_col, **fit))
+    return found.withColumn("held_out", F.coalesce(remainder(F.col(id_col)) == 2, F.lit(False)))

@@ -78,6 +78,15 @@ def test_language_stage_keeps_all_where_nothing_is_labelled(spark, docs_of):
     assert corpus_pipeline.STAGES[0][1](spark, docs, "").count() == 2
 
 
+def test_language_stage_keeps_all_where_nothing_is_learned(spark, docs_of):
+    import zlib
+
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    other = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = docs_of([(held, "some text", "en"), (None, "more text", "en"), (other, "and more", None), (other, "123", "en")])
+    assert corpus_pipeline.STAGES[0][1](spark, docs, "").count() == 4
+
+
 def test_digests_follow_the_contract(spark, docs_of, tmp_path):
     docs_of([(1, "Hi"), (2, None)]).write.parquet(str(tmp_path / "documents.parquet"))
     empty = hashlib.sha256(b"").hexdigest()
