@@ -11,21 +11,20 @@ from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.queries import VOCABULARY
 from tableferry.sources.scratch import stored
 
-# A score of 0 means that a text shares no n-gram with any language; ordinary texts have 0.4 and more.
-LEAST_SCORE = 0.2
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is recognised.
 
-    Texts that are null or have no letter go, and those unlike every language
-    learned. Where no language could be learned, nothing is rejected.
+    Texts that are null or have no letter go, and those that share no n-gram with
+    any language learned (score 0); how high other scores are depends on the
+    alphabet and the length, so they reject nothing. Where no language could be
+    learned, nothing is rejected.
     """
     profiles = langid.learn_unheld(docs)
     if not profiles.names:
         return docs
     found = langid.with_language(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), "in_text", profiles)
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") > 0))
     return kept.select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
 
 

@@ -87,6 +87,18 @@ def test_language_stage_keeps_all_where_nothing_is_learned(spark, docs_of):
     assert corpus_pipeline.STAGES[0][1](spark, docs, "").count() == 4
 
 
+def test_language_stage_keeps_short_texts_of_a_large_alphabet(spark, docs_of):
+    import random
+
+    rng = random.Random(6)
+    alphabet = [chr(0x4E00 + i) for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    rows = [(i, "".join(rng.choices(alphabet, weights, k=rng.randrange(20, 60))), "zh") for i in range(300)]
+    rows += [(1000, "ξένο κείμενο", None), (1001, "123", None)]
+    kept = corpus_pipeline.STAGES[0][1](spark, docs_of(rows), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(300))
+
+
 def test_digests_follow_the_contract(spark, docs_of, tmp_path):
     docs_of([(1, "Hi"), (2, None)]).write.parquet(str(tmp_path / "documents.parquet"))
     empty = hashlib.sha256(b"").hexdigest()
