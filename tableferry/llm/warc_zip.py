@@ -223,7 +223,8 @@ def mark_revisits(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
     """``page_id, url, payload, digest, refers_to``: the last is set for rows that revisit another's payload.
 
     Digests are counted with a partial step first; only digests that repeat are
-    joined back, so one payload may be on any share of the rows.
+    joined back, so one payload may be on any share of the rows. Short payloads
+    have no partner and are spread by id and url instead.
     """
     rows = pages.select(
         F.col(id_col).alias("page_id"),
@@ -233,7 +234,11 @@ def mark_revisits(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
     long = rows.where(F.octet_length("payload") >= least)
     repeated = long.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     repeated = repeated.where((F.col("n") > 1) & F.col("first").isNotNull()).select(F.col("digest").alias("d"), "first")
-    joined = rows.join(repeated, F.col("digest") == F.col("d"), "left")
+    # stored, so that the join has two fresh exchanges and the rows of one payload can be split
+    repeated, _ = stored(repeated, "repeated")
+    spread = F.xxhash64("page_id", "url").cast("string")
+    key = F.when(F.octet_length("payload") >= least, F.col("digest")).otherwise(spread)
+    joined = rows.withColumn("key", key).join(repeated, F.col("key") == F.col("d"), "left")
     refers = F.when(F.col("page_id").eqNullSafe(F.col("first")), F.lit(None)).otherwise(F.col("first"))
     return joined.select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
 

@@ -33,3 +33,17 @@ def prose():
         return " ".join(rng.choice(WORDS) + rng.choice(["", "er", "ing", "ly", "s"]) for _ in range(n))
 
     return make
+
+
+@pytest.fixture
+def small_skew(conf):
+    """Joins are sorted, and small ones with a hot key count as skewed."""
+    conf({
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    })

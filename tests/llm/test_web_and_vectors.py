@@ -107,6 +107,23 @@ def test_records_come_back(spark, package_bytes):
             assert len(r["payload"]) == r["payload_bytes"]
 
 
+@pytest.mark.parametrize("hot", ["same " * 40, ""])
+def test_a_payload_on_a_third_of_the_pages_is_split(spark, tmp_path, small_skew, final_plan, hot):
+    own = F.concat(*[F.sha2(F.concat_ws("-", F.lit(i), "page_id").cast("binary"), 512) for i in range(4)])
+    pages = spark.range(30_000).withColumnRenamed("id", "page_id")
+    pages = pages.withColumn("html", F.when(F.col("page_id") % 3 == 0, F.lit(hot)).otherwise(own)).withColumn("url", own)
+    pages.union(pages.where("page_id % 3 = 1")).repartition(10).write.parquet(str(tmp_path / "pages"))
+    marked = warc_zip.mark_revisits(spark.read.parquet(str(tmp_path / "pages")), "page_id", "url", "html")
+    plan = final_plan(marked)
+    assert "SortMergeJoin(skew=true)" in plan if hot else "SortMergeJoin" in plan
+    assert marked.count() == 40_000
+    # of the hot payload the first id is none, nor are those of a pair, which have one id
+    assert marked.where("refers_to is not null").count() == (9_999 if hot else 0)
+    if not hot:
+        held = marked.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in held) < 10_000
+
+
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder = warc_zip.new_folder(pages)
