@@ -128,11 +128,14 @@ def decontaminate(
     )
     met = index.select("text_key", F.explode("marks").alias("mark"))
     met = met.join(stretches.select("mark").distinct(), "mark", "left_semi").select("text_key").distinct()
+    # stored, so that the join with the texts has two fresh exchanges and the copies of one can be split
+    met, _ = stored(met, "met")
 
     # the texts that share a fingerprint: extend its hits and compare the words;
     # stored first, so that words are not worked out for the others again
     close, _ = stored(docs.join(met, "text_key", "left_semi").select("text_key", "text"), "close")
-    close = _fingerprinted(close, window, k)
+    # hits are per text, so one copy is enough
+    close = _fingerprinted(close.groupBy("text_key").agg(F.first("text").alias("text")), window, k)
     hits = all_spans(close, "text_key").join(stretches, ["size", "mark", "stretch"])
     hits, _ = stored(hits.select("text_key", "at", "size", "item").distinct(), "hits")
     places = hits.select("text_key", "at", "size").distinct()

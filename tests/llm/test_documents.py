@@ -59,6 +59,23 @@ def test_decontamination_of_empty_tables(spark, docs_of):
     assert (row["n_words"], row["n_hit"], row["items"], row["contaminated"]) == (3, 0, [], False)
 
 
+def test_a_benchmark_text_on_a_third_of_the_documents_is_split(spark, docs_of, prose, tmp_path, small_skew, final_plan, monkeypatch):
+    leak = prose(1, 60)
+    rows = [(i, leak if i % 3 == 0 else f"own {i}") for i in range(9000)]
+    docs_of(rows).repartition(10).write.parquet(str(tmp_path / "docs"))
+    plans, kept = {}, decontaminate.stored
+
+    def watched(df, name):
+        plans[name] = final_plan(df)
+        return kept(df, name)
+
+    monkeypatch.setattr(decontaminate, "stored", watched)
+    bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    found = decontaminate.decontaminate(spark.read.parquet(str(tmp_path / "docs")), bench)
+    assert found.where("contaminated").count() == 3000
+    assert "SortMergeJoin(skew=true)" in plans["close"]
+
+
 def test_decontamination_runs_no_python(docs_of, spark, first_plan):
     plan = first_plan(decontaminate.decontaminate(docs_of([(1, "a b c")]), spark.createDataFrame([(1, "b")], "item_id long, text string")))
     assert not re.search("Python|Pandas|Arrow", plan)
