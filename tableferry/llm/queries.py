@@ -16,6 +16,7 @@ from tableferry.llm import (
     pii,
     sharding,
     simhash,
+    spelling,
     token_count,
     url_rules,
     warc_zip,
@@ -133,11 +134,16 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_index.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_byte_bpe, op3_token_counts, op4_url_rules, op5_language,
         op6_warc_zip, op7_personal_data, op8_decontaminate, op9_shards, op10_neighbours,
+        op11_spelling,
     )
 }
 
