@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tableferry.llm import (
     bpe,
     decontaminate,
+    divergence,
     hash_index,
     langid,
     pii,
@@ -138,12 +139,16 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_byte_bpe, op3_token_counts, op4_url_rules, op5_language,
         op6_warc_zip, op7_personal_data, op8_decontaminate, op9_shards, op10_neighbours,
-        op11_spelling,
+        op11_spelling, op12_divergence,
     )
 }
 
@@ -199,5 +204,43 @@ listed AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(places.n, 0) AS n_hit, coalesce(listed.n, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(places.n, 0) > 0 AS contaminated
 FROM dw LEFT JOIN places USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
+    "op12_divergence": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, {_AZ}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), known AS (
+  SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM known GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), counts AS (
+  SELECT t.lang, source, term, count(*) AS n FROM t JOIN known USING (lang, term) GROUP BY ALL
+), totals AS (
+  SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (coalesce(total, 0) + v))::HUGEINT AS p,
+         (1 + (1000000000 * (lang_n + 1)::HUGEINT) // (lang_total + v))::HUGEINT AS q
+  FROM groups g JOIN known k USING (lang) JOIN langs USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN totals s ON s.lang = g.lang AND s.source = g.source
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
 """,
 }

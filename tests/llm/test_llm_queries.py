@@ -25,7 +25,7 @@ def test_query_against_sql(spark, name):
 
 
 @given
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op10_neighbours", "op6_warc_zip", "op4_url_rules", "op11_spelling"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op10_neighbours", "op6_warc_zip", "op4_url_rules", "op11_spelling", "op12_divergence"}))
 def test_a_row_per_document(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     found = QUERIES[name](spark, SF_DIR)
