@@ -19,6 +19,7 @@ from tableferry.llm import (
     simhash,
     spelling,
     token_count,
+    toxicity,
     url_rules,
     warc_zip,
 )
@@ -143,12 +144,18 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(_table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = toxicity.predict_toxicity(docs, _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_byte_bpe, op3_token_counts, op4_url_rules, op5_language,
         op6_warc_zip, op7_personal_data, op8_decontaminate, op9_shards, op10_neighbours,
-        op11_spelling, op12_divergence,
+        op11_spelling, op12_divergence, op13_toxicity,
     )
 }
 
