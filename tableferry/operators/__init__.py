@@ -9,10 +9,12 @@ from .keyed import (
     sort_for_load,
     upsert,
 )
+from .keyfilter import KeyFilter, key_filter, rows_with_keys, rows_without_keys
 from .quality import defaults, null_audit, null_rows, require
 from .shape import conform, flatten_struct, project, union_all
 
 __all__ = [
+    "KeyFilter",
     "between_marks",
     "changed_rows",
     "conform",
@@ -20,6 +22,7 @@ __all__ = [
     "flatten_struct",
     "high_water",
     "keep_keys",
+    "key_filter",
     "key_list",
     "latest_per_key",
     "measured_bytes",
@@ -29,6 +32,8 @@ __all__ = [
     "pick_rows",
     "project",
     "require",
+    "rows_with_keys",
+    "rows_without_keys",
     "run_audit",
     "run_date",
     "sort_for_load",
