@@ -12,13 +12,11 @@ import sys
 from functools import reduce
 from operator import or_
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import require
 from .operators.keyed import Order
-from .operators.quality import counted_lines, null_counts
 from .plans import (
     audit_events,
     audit_mark,
@@ -30,25 +28,27 @@ from .plans import (
     machine_mark,
     machine_snapshot,
     mark_value,
+    newest_audit,
+    newest_machines,
     raw_series,
-    readings_audit,
+    staged_series,
 )
 from .plans.schemas import READINGS, TAGS
 from .plans.series import LOAD_ORDER, SINCE
 from .session import build_session, shuffle_width
 from .sources import (
     export_run,
+    last_mark,
     merge_partitions,
     read_table,
     read_tree,
     write_table,
 )
+from .sources.scratch import discard, stored
 
 
 # File formats: an append to one of them repeats rows when a job is rerun.
 FILES = ("parquet", "orc", "avro", "json", "csv", "text")
-# A broadcast is held whole by the driver and each executor.
-MOST_BROADCAST_MB = 512
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -63,23 +63,13 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_table(spark, args.source_format, _options(args.source_option))
 
 
-def _observed(counted: Observation, df: DataFrame, counts: list[Column]) -> dict[str, int]:
-    """What was counted while ``df`` was read for a write.
-
-    A plan whose rows all fell away is cut short with its counters in it; then they are counted anew.
-    """
-    try:
-        return counted.get
-    except Py4JJavaError:
-        return df.agg(*counts).first().asDict()
-
-
 def _deliver(
-    spark: SparkSession, df: DataFrame, args: argparse.Namespace, order_within: Order = ()
+    spark: SparkSession, df: DataFrame, args: argparse.Namespace, order_within: Order = (), is_stored: bool = False
 ) -> None:
     """Append to a keyed store, or merge into a partitioned parquet table when keys are given.
 
-    Rows dropped for a null key are counted in the pass that writes the others.
+    Rows dropped for a null key are counted on stored rows, so that no task
+    that ran again counts twice.
     """
     options = _options(args.target_option)
     if args.keys:
@@ -88,24 +78,28 @@ def _deliver(
         comparable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         order = order or [(c, "desc") for c in comparable if c not in _names(args.keys)]
         order = order or [(_names(args.keys)[0], "desc")]
-        dropped = Observation()
+        staged, kind = None, df.schema
         if args.drop_null_keys:
+            if not is_stored:
+                df, staged = stored(df, "deliver")
             null_key = reduce(or_, [F.col(k).isNull() for k in _names(args.keys)])
-            every, counts = df, [F.count_if(null_key).alias("n")]
-            df = require(df.observe(dropped, *counts), _names(args.keys))
+            dropped = df.filter(null_key).count()
+            df = require(df, _names(args.keys))
         merge_partitions(
             spark,
             df,
             options["path"],
-            df.schema,
+            kind,
             keys=_names(args.keys),
             by=_names(args.partition_by),
             order_by=order,
-            broadcast_bytes=args.broadcast_mb << 20,
             order_within=order_within,
+            new_is_stored=is_stored or staged is not None,
         )
         if args.drop_null_keys:
-            print(json.dumps({"dropped_null_keys": _observed(dropped, every, counts)["n"]}))
+            print(json.dumps({"dropped_null_keys": dropped}))
+        if staged:
+            discard(spark, staged)
     else:
         if args.target_format in FILES:
             raise SystemExit(f"{args.target_format} has no keys, so a rerun would repeat its rows: give --keys and --partition-by")
@@ -113,17 +107,11 @@ def _deliver(
 
 
 def load_series(spark: SparkSession, args: argparse.Namespace) -> None:
-    readings = read_tree(spark, args.path, READINGS)
+    readings, audit, staged = staged_series(read_tree(spark, args.path, READINGS))
     sort = None if args.keys else args.sort  # a merge orders its files when it writes them
-    if sort == "global":
-        # a global sort scans twice by itself, to sample and to sort, and would count twice
-        lines = [line.asDict() for line in readings_audit(readings).collect()]  # one line per column
-        _deliver(spark, raw_series(readings, sort), args)
-    else:
-        counted, counts = Observation(), null_counts(readings.columns)
-        observed = readings.observe(counted, *counts)
-        _deliver(spark, raw_series(observed, sort), args, order_within=LOAD_ORDER)
-        lines = counted_lines(_observed(counted, readings, counts), readings.columns)
+    lines = [line.asDict() for line in audit.collect()]  # one line per column
+    _deliver(spark, raw_series(readings, sort), args, order_within=LOAD_ORDER, is_stored=True)
+    discard(spark, staged)
     for line in lines:
         print(json.dumps(line))
 
@@ -147,7 +135,14 @@ def _low(text: str | None):
     return int(text) if text and text.lstrip("-").isdigit() else text
 
 
-def _export(spark: SparkSession, df: DataFrame, args: argparse.Namespace) -> None:
+def _start(spark: SparkSession, args: argparse.Namespace):
+    """Where the window opens: as given, or with ``--resume`` at the mark the runs before have left in the export's folder."""
+    if args.resume and args.low:
+        raise SystemExit("give --low or --resume, not both")
+    return last_mark(spark, args.path, args.insert_date, args.run_sequence) if args.resume else _low(args.low)
+
+
+def _export(spark: SparkSession, df: DataFrame, args: argparse.Namespace, newest: Column | None = None) -> None:
     n_rows = export_run(
         df,
         args.path,
@@ -157,22 +152,23 @@ def _export(spark: SparkSession, df: DataFrame, args: argparse.Namespace) -> Non
         args.run_sequence,
         args.audit_path,
         args.max_files,
+        newest,
     )
     print(json.dumps({"table": args.table, "n_rows": n_rows}))
 
 
 def export_audit(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = audit_events(
-        _source(spark, args), args.insert_date, args.run_sequence, _low(args.low), args.as_of, args.lag
+        _source(spark, args), args.insert_date, args.run_sequence, _start(spark, args), args.as_of, args.lag
     )
-    _export(spark, rows, args)
+    _export(spark, rows, args, newest_audit())
 
 
 def export_machines(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = machine_snapshot(
-        _source(spark, args), args.insert_date, args.run_sequence, _low(args.low), args.as_of, args.lag
+        _source(spark, args), args.insert_date, args.run_sequence, _start(spark, args), args.as_of, args.lag
     )
-    _export(spark, rows, args)
+    _export(spark, rows, args, newest_machines())
 
 
 def export_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -181,7 +177,7 @@ def export_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def sync_cohorts(spark: SparkSession, args: argparse.Namespace) -> None:
     target = read_table(spark, args.target_format, _options(args.target_option))
-    _deliver(spark, cohort_changes(_source(spark, args), target, _names(args.exclude)), args)
+    _deliver(spark, cohort_changes(_source(spark, args), target, _names(args.exclude), ranges=args.ranges), args)
 
 
 def mark_audit(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -217,10 +213,6 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--keys", help="merge into parquet by these columns (comma list)")
         sub.add_argument("--partition-by", help="partition columns of the merge, part of the keys")
         sub.add_argument("--drop-null-keys", action="store_true", help="null keys fail the merge otherwise")
-        sub.add_argument(
-            "--broadcast-mb", type=int, default=0, choices=range(MOST_BROADCAST_MB + 1), metavar="MB",
-            help=f"broadcast new rows up to this size, at most {MOST_BROADCAST_MB}",
-        )
         sub.add_argument("--order", help="which of several new rows of a key wins: column:asc|desc,...")
 
     def sort(sub):
@@ -234,6 +226,9 @@ def _parser() -> argparse.ArgumentParser:
     def exclude(sub):
         sub.add_argument("--exclude", help="ids to leave out (comma list)")
 
+    def ranges(sub):
+        sub.add_argument("--ranges", type=int, default=0, help="compare digests of that many hash ranges of the id first")
+
     def run(sub):
         sub.add_argument("--path", required=True, help="folder of the export")
         sub.add_argument("--table", required=True)
@@ -245,6 +240,7 @@ def _parser() -> argparse.ArgumentParser:
 
     def window(sub):
         sub.add_argument("--low", help="mark of the last run: epoch milliseconds or a time")
+        sub.add_argument("--resume", action="store_true", help="start at the mark that earlier runs have left in --path")
         sub.add_argument("--as-of", help="time of this run; without it there is no window")
         sub.add_argument("--lag", default="24 hours")
 
@@ -255,7 +251,7 @@ def _parser() -> argparse.ArgumentParser:
     job(export_audit, source, run, window)
     job(export_machines, source, run, window)
     job(export_cohorts, source, run)
-    job(sync_cohorts, source, target, exclude)
+    job(sync_cohorts, source, target, exclude, ranges)
     job(mark_audit, source)
     job(mark_machines, source)
     return parser

@@ -1,4 +1,4 @@
-from .changes import changed_rows, pick_rows
+from .changes import changed_rows, changed_rows_by_range, differing_ranges, pick_rows, range_digests
 from .incremental import between_marks, high_water, run_audit, run_date, stamp_run
 from .keyed import (
     keep_keys,
@@ -17,8 +17,10 @@ __all__ = [
     "KeyFilter",
     "between_marks",
     "changed_rows",
+    "changed_rows_by_range",
     "conform",
     "defaults",
+    "differing_ranges",
     "flatten_struct",
     "high_water",
     "keep_keys",
@@ -31,6 +33,7 @@ __all__ = [
     "null_rows",
     "pick_rows",
     "project",
+    "range_digests",
     "require",
     "rows_with_keys",
     "rows_without_keys",

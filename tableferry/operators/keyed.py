@@ -156,7 +156,6 @@ def upsert(
     order_by: Order | None = None,
     ignore_nulls: bool = True,
     new_unique: bool = False,
-    broadcast_bytes: int = 0,
 ) -> DataFrame:
     """The keyed table after ``new`` is written over ``old``.
 
@@ -169,10 +168,11 @@ def upsert(
     repeated key fails the job, and so does a null key (filter those with ``require`` first). The columns are those of
     ``old``; a column ``new`` lacks counts as null there.
 
-    A full outer join shuffles all of ``old``. With ``broadcast_bytes`` set, the
-    size of ``new`` is measured (one job); up to that bound ``new`` is broadcast
-    and ``old`` is never shuffled, beyond it the full join is used. ``new`` is
-    read several times then: pass a stored table (``sources.stage``).
+    One plan at all sizes: ``old`` keeps its rows through a left join, and keys
+    it lacks are added. Where ``new`` is below the session's broadcast threshold,
+    Spark broadcasts it and ``old`` is never shuffled (a full outer join always
+    would); above it the rows of ``old`` are shuffled once, and its keys once
+    more. ``new`` is read several times: pass a stored table (``sources.stage``).
     """
     keys = list(keys)
     if order_by is None and not new_unique:
@@ -198,14 +198,10 @@ def upsert(
             return F.coalesce(replacement, F.col(c))
         return F.when(F.col("__is_new"), replacement).otherwise(F.col(c))
 
-    def finish(joined: DataFrame) -> DataFrame:
-        return joined.select(*[merged(c).alias(c) if c in values else F.col(c) for c in old.columns])
-
-    if broadcast_bytes and measured_bytes(new) <= broadcast_bytes:
-        small = F.broadcast(new)
-        found = old.select(*keys).join(F.broadcast(new.select(*keys)), keys, "left_semi")
-        added = new.join(found, keys, "left_anti").select(
-            *[F.col(c) if c in keys else F.col(f"__new_{c}").alias(c) for c in old.columns]
-        )
-        return finish(old.join(small, keys, "left")).unionByName(added)
-    return finish(old.join(new, keys, "full_outer"))
+    kept = old.join(new, keys, "left")
+    # few keys at most: those of `new` that are in `old`
+    found = old.select(*keys).join(new.select(*keys), keys, "left_semi")
+    added = new.join(found, keys, "left_anti").select(
+        *[F.col(c) if c in keys else F.col(f"__new_{c}").alias(c) for c in old.columns]
+    )
+    return kept.select(*[merged(c).alias(c) if c in values else F.col(c) for c in old.columns]).unionByName(added)

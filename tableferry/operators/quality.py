@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def null_audit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column (column_name, n_rows, n_null), counted in a single pass."""
-    counts = df.agg(*null_counts(cols))
+    present = [F.count(F.col(c)).alias(f"present_{i}") for i, c in enumerate(cols)]
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *present)
     lines = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -22,21 +23,6 @@ def null_audit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
-def null_counts(cols: Sequence[str]) -> list[Column]:
-    """Aggregates for ``observe``: the null audit of a table while it is read for something else.
-
-    A task that runs again after its executor was lost may be counted twice.
-    """
-    present = [F.count(F.col(c)).alias(f"present_{i}") for i, c in enumerate(cols)]
-    return [F.count(F.lit(1)).alias("n_rows"), *present]
-
-
-def counted_lines(counts: Mapping[str, int], cols: Sequence[str]) -> list[dict]:
-    """The audit lines of what :func:`null_counts` observed."""
-    n = counts["n_rows"]
-    return [{"column_name": c, "n_rows": n, "n_null": n - counts[f"present_{i}"]} for i, c in enumerate(cols)]
-
-
 def null_rows(df: DataFrame, col: str) -> DataFrame:
     """The rows a null audit counts for one column."""
     return df.filter(F.col(col).isNull())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.checksum import row_checksum
-from ..operators.changes import changed_rows, pick_rows
+from ..operators.changes import changed_rows, changed_rows_by_range, pick_rows
 from ..operators.incremental import stamp_run
 from ..operators.shape import conform
 from ..sources.scratch import stored
@@ -63,7 +63,7 @@ def cohort_rows(source: DataFrame, exclude: Sequence[str] = (), sep: str = "") -
 
 
 def cohort_changes(
-    source: DataFrame, target: DataFrame, exclude: Sequence[str] = (), sep: str = ""
+    source: DataFrame, target: DataFrame, exclude: Sequence[str] = (), sep: str = "", ranges: int = 0
 ) -> DataFrame:
     """Cohort rows that are new to the target or differ from it, ready to be upserted.
 
@@ -71,10 +71,16 @@ def cohort_changes(
     checksum) pair once. The pairs are compared by themselves, the differing
     ones are stored, and their rows are picked from a second scan: wide rows
     are shuffled only where the changes are too many for Spark to broadcast. A
-    row that changes between the two scans is left to the next run.
+    row that changes between the two scans is left to the next run. With
+    ``ranges`` given, digests of that many hash ranges of the id are compared first
+    and only the pairs of ranges that differ.
     """
     rows, on = cohort_rows(source, exclude, sep), ["suid", "checksum"]
-    pairs, _ = stored(changed_rows(rows.select(*on), target, on, target_unique=True), "changed")
+    if ranges:
+        pairs = changed_rows_by_range(rows.select(*on), target, on, ["suid"], ranges, target_unique=True)
+    else:
+        pairs = changed_rows(rows.select(*on), target, on, target_unique=True)
+    pairs, _ = stored(pairs, "changed")
     return pick_rows(rows, pairs, on)
 
 

@@ -1,8 +1,14 @@
-"""High-water marks of earlier exports: where the next run starts."""
+"""High-water marks of earlier exports: where the next run starts.
+
+A run's write observes its newest time (``newest_audit``, ``newest_machines``)
+and commits it with the run, and ``sources.last_mark`` reads it there. The marks
+over exported rows are for exports that were not written that way.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.timecols import MS_FORMAT
 from ..operators.incremental import high_water
@@ -22,3 +28,19 @@ def machine_mark(exported: DataFrame) -> DataFrame:
 def mark_value(mark: DataFrame):
     """The mark as epoch milliseconds, or None: a single row by construction."""
     return mark.first()["max_time_ms"]
+
+
+def newest_audit() -> Column:
+    """For the write of an audit export: the newest event time, in epoch milliseconds."""
+    time = F.try_to_timestamp(F.col("event_time"), F.lit(MS_FORMAT))
+    return F.unix_millis(F.max(time).cast("timestamp"))
+
+
+def newest_machines() -> Column:
+    """For the write of a machine export: the newest of all activity times, in epoch milliseconds.
+
+    A missing time counts as the epoch, as it does in the window: a run of rows
+    without any leaves that as its mark, and they are not exported again.
+    """
+    times = [F.coalesce(F.unix_millis(F.col(c).cast("timestamp")), F.lit(0)) for c in ACTIVITY_TIMES]
+    return F.max(F.greatest(*times))

@@ -4,22 +4,33 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-import uuid
 from collections.abc import Sequence
-from urllib.parse import quote
+from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..operators.incremental import RUN_COLUMNS, run_date
 from ..operators.keyed import Order, order_columns, upsert
-from .scratch import discard, stored, swap_in
+from .scratch import discard, stored
+from .versions import commit, committed, new_version, read_committed
 
 AUDIT_SCHEMA = (
     "table_name string, database_name string, insert_date string, run_sequence string, n_rows bigint"
 )
+# an audit line with the newest time of the run's rows
+MARKED_AUDIT_SCHEMA = f"{AUDIT_SCHEMA}, max_time_ms bigint"
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a run's own write has counted; ``max_time_ms`` is None for a run without rows or times."""
+
+    n_rows: int
+    max_time_ms: int | None = None
 
 
 def _sized(df: DataFrame, by: Sequence[str], max_files: int | None) -> DataFrame:
@@ -82,38 +93,82 @@ def write_partitions(
     )
 
 
-def replace_run(
+def write_run(
     df: DataFrame,
     path: str,
     insert_date: str | dt.date,
     run_sequence: str | int = "1",
     max_files: int | None = None,
-) -> int:
-    """Replace one run's partition with ``df`` and return its row count.
-
-    The partition is written by its own directory, so a rerun that yields no
-    rows empties it, where a dynamic overwrite would leave the old rows. Rows
-    are counted while they are written. Run columns ``df`` may carry are
-    dropped: the directory states them. The rows are written beside the run, where
-    readers do not look, and take its place when they are complete, so a write
-    that fails leaves the old run as it was.
+    newest: Column | None = None,
+) -> Run:
+    """Replace one run's rows with ``df``; what the write counted.
+
+    The run gets a new version of its folder, so a rerun that yields no rows
+    empties it, where a dynamic overwrite would leave the old rows. Rows are
+    counted while they are written, and so is ``newest``, an aggregate that
+    gives epoch milliseconds. Run columns ``df`` may carry are dropped: the
+    folder states them. The version is valid once complete and committed; until
+    then, and if the job stops anywhere, :func:`read_runs` gives the old rows.
     """
     df = df.drop(*RUN_COLUMNS)
     sequence = str(run_sequence)
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", sequence):
         raise ValueError(f"run_sequence is used as a directory name: {sequence!r}")
-    fresh = f"{path}/_run-{uuid.uuid4().hex}"
+    place = f"insert_date={run_date(insert_date)}/run_sequence={sequence}"
+    version, folder = new_version(path, place)
     counted = Observation()
+    counts = [F.count(F.lit(1)).alias("n_rows"), *([] if newest is None else [newest.alias("max_time_ms")])]
     (
         _sized(df, _spread_column(df), max_files)
         # counted after the exchange: a write task counts once, a retried map task might not
-        .observe(counted, F.count(F.lit(1)).alias("n_rows"))
-        .write.mode("overwrite")
-        .option("compression", "snappy")
-        .parquet(fresh)
+        .observe(counted, *counts)
+        .write.option("compression", "snappy")
+        .parquet(folder)
     )
-    swap_in(df.sparkSession, fresh, f"{path}/insert_date={run_date(insert_date)}/run_sequence={sequence}")
-    return counted.get["n_rows"]
+    run = Run(counted.get["n_rows"], counted.get.get("max_time_ms"))
+    commit(df.sparkSession, path, place, version, run.n_rows, run.max_time_ms)
+    return run
+
+
+def replace_run(
+    df: DataFrame,
+    path: str,
+    insert_date: str | dt.date,
+    run_sequence: str | int = "1",
+    max_files: int | None = None,
+) -> int:
+    """As :func:`write_run`, giving the row count alone."""
+    return write_run(df, path, insert_date, run_sequence, max_files).n_rows
+
+
+def read_runs(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The rows of every committed run; filters on the run columns skip folders."""
+    return read_committed(spark, path, schema)
+
+
+def _run_order(insert_date: str, run_sequence: str) -> tuple:
+    """Runs in time order; numbers in a sequence count as numbers."""
+    parts = re.findall(r"\d+|\D+", run_sequence)
+    return insert_date, [(0, int(p), "") if p.isdigit() else (1, 0, p) for p in parts]
+
+
+def last_mark(
+    spark: SparkSession, path: str, insert_date: str | dt.date | None = None, run_sequence: str | int = "1"
+) -> int | None:
+    """The newest time committed runs have written, in epoch milliseconds; None if there is none.
+
+    It was observed in the runs' own writes and committed with them, so this is
+    a listing: no row of an earlier run is read again. A run without rows leaves
+    the mark where it was. With a run given, only runs before it count, so that
+    a rerun starts where the run did.
+    """
+    marks = []
+    for place, run in committed(spark, path).items():
+        day, sequence = (unquote(part.split("=", 1)[1]) for part in place.split("/"))
+        before = insert_date is None or _run_order(day, sequence) < _run_order(run_date(insert_date), str(run_sequence))
+        if before and run.max_time_ms is not None:
+            marks.append(run.max_time_ms)
+    return max(marks, default=None)
 
 
 def record_run(
@@ -124,15 +179,16 @@ def record_run(
     insert_date: str | dt.date,
     run_sequence: str | int,
     n_rows: int,
+    max_time_ms: int | None = None,
 ) -> None:
     """Put a run's line into the run audit table at ``path``; a rerun replaces its line.
 
     Each run has a directory of its own, and its file holds all columns too.
     """
-    line = (table, database, run_date(insert_date), str(run_sequence), n_rows)
+    line = (table, database, run_date(insert_date), str(run_sequence), n_rows, max_time_ms)
     names = [field.split()[0] for field in AUDIT_SCHEMA.split(",")][:4]
     place = "/".join(f"{name}={quote(value, safe='')}" for name, value in zip(names, line))
-    spark.createDataFrame([line], AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{place}")
+    spark.createDataFrame([line], MARKED_AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{place}")
 
 
 def export_run(
@@ -144,12 +200,15 @@ def export_run(
     run_sequence: str | int = "1",
     audit_path: str | None = None,
     max_files: int | None = None,
+    newest: Column | None = None,
 ) -> int:
-    """Write one run and its audit line; the row count comes from the write itself."""
-    n_rows = replace_run(df, path, insert_date, run_sequence, max_files)
+    """Write one run and its audit line; count and newest time come from the write itself."""
+    run = write_run(df, path, insert_date, run_sequence, max_files, newest)
     if audit_path:
-        record_run(df.sparkSession, audit_path, table, database, insert_date, run_sequence, n_rows)
-    return n_rows
+        record_run(
+            df.sparkSession, audit_path, table, database, insert_date, run_sequence, run.n_rows, run.max_time_ms
+        )
+    return run.n_rows
 
 
 def touched_values(new: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -175,8 +234,8 @@ def merge_partitions(
     order_by: Order | None = None,
     ignore_nulls: bool = True,
     new_unique: bool = False,
-    broadcast_bytes: int = 0,
     order_within: Order = (),
+    new_is_stored: bool = False,
 ) -> None:
     """Upsert ``new`` into a partitioned parquet table, rewriting only partitions it touches.
 
@@ -184,7 +243,8 @@ def merge_partitions(
     between partitions. ``new`` is staged first, so that the partitions picked
     and the rows merged are the same even if its source goes on changing. The
     old side is cut to those partitions by a join with their values, however
-    many there are. A first load goes straight to the write.
+    many there are. A first load goes straight to the write. ``new_is_stored``
+    says that ``new`` reads rows the caller has stored, which saves that copy.
 
     The merged partitions are complete in the shared scratch folder before any
     old file is replaced. If the replacement stops midway, the error names that
@@ -201,10 +261,12 @@ def merge_partitions(
         first = upsert(spark.createDataFrame([], schema), new, keys, order_by, ignore_nulls, new_unique)
         write_partitions(first, path, by, order=order_within)
         return
-    new, new_path = stored(new, "merge")
+    new_path = None
+    if not new_is_stored:
+        new, new_path = stored(new, "merge")
     if not new.isEmpty():
         old = old.join(touched_values(new, by), list(by), "left_semi").select(*schema.names)
-        merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique, broadcast_bytes)
+        merged = upsert(old, new, keys, order_by, ignore_nulls, new_unique)
         merged, merged_path = stored(merged, "merged")
         try:
             write_partitions(merged, path, by, order=order_within)
@@ -212,4 +274,5 @@ def merge_partitions(
             e.add_note(f"the merged partitions are complete in {merged_path}; write them over {path} to finish")
             raise
         discard(spark, merged_path)
-    discard(spark, new_path)
+    if new_path:
+        discard(spark, new_path)

@@ -42,14 +42,3 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def swap_in(spark: SparkSession, fresh: str, target: str) -> None:
-    """Put a complete folder in the place of another, which may be missing."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    source, place = path(fresh), path(target)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(place.getParent())
-    files.delete(place, True)
-    if not files.rename(source, place):
-        raise OSError(f"could not move {fresh} to {target}")

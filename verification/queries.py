@@ -23,6 +23,7 @@ from tableferry.functions import (
 from tableferry.operators import (
     between_marks,
     changed_rows,
+    changed_rows_by_range,
     defaults,
     flatten_struct,
     keep_keys,
@@ -46,23 +47,29 @@ from tableferry.plans import (
     hourly_series,
     machine_mark,
     machine_snapshot,
-    mark_value,
+    newest_audit,
+    newest_machines,
     raw_series,
     readings_audit,
+    staged_series,
 )
 from tableferry.plans.cohorts import CHECKSUM_COLUMNS, FALSE_FLAGS, TARGET_SOURCES
 from tableferry.plans.machines import ACTIVITY_TIMES, MACHINE_SOURCES, products_in_use
 from tableferry.plans.schemas import COHORT_TARGET, DISABLED_COHORTS, MACHINES, column_types
 from tableferry.sources import (
     AUDIT_SCHEMA,
+    MARKED_AUDIT_SCHEMA,
     export_run,
+    last_mark,
     merge_partitions,
     read_partitions,
+    read_runs,
     read_table,
     read_tree,
-    replace_run,
     scratch_path,
+    stage,
     write_partitions,
+    write_run,
     write_table,
     write_tree,
 )
@@ -145,6 +152,18 @@ def table_scan(spark, sf_dir):
     return orders.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def session_scan(spark, sf_dir):
+    """A table whose place the session's settings name; the read is given nothing but the format."""
+    name = "spark.datasource.parquet.path"
+    spark.conf.set(name, f"{sf_dir}/orders.parquet")
+    try:
+        orders = read_table(spark, "parquet")
+    finally:
+        spark.conf.unset(name)
+    return orders.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query("SELECT c_mktsegment, count(*) AS n_rows FROM customer GROUP BY c_mktsegment")
 def catalog_scan(spark, sf_dir):
     """A table by catalog name."""
@@ -372,6 +391,17 @@ def ts_load_sorted(spark, sf_dir):
     return raw_series(readings, sort="global", tie_break=[("event_id", "asc")])
 
 
+@query(
+    f"""WITH {READINGS_CTE}
+SELECT *, strftime(event_time, '%Y%m') AS yyyymm FROM readings
+WHERE tag_id IS NOT NULL AND data_quality IS NOT NULL"""
+)
+def ts_load_staged(spark, sf_dir):
+    """The same load after one scan of its source: the stored rows are sampled for the order."""
+    staged, _, _ = staged_series(A.derive(spark, sf_dir, "events", A.READINGS))
+    return raw_series(staged, sort="global", tie_break=[("event_id", "asc")])
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem")
 def sorted_load(spark, sf_dir):
     """Global sort before a load."""
@@ -423,6 +453,19 @@ def daily_by_keys(spark, sf_dir):
     return daily_series(daily, A.derive(spark, sf_dir, "orders", A.DAILY_TAGS), since="1997-01-01 00:00")
 
 
+@query(
+    f"""WITH {cte("daily", A.DAILY, "lineitem")}, {cte("tags", A.DAILY_TAGS, "orders")}
+SELECT *, CAST(floor(epoch(latest_time) / 86400) AS bigint) AS event_day,
+  CAST(year(latest_time) AS integer) AS yyyy
+FROM daily SEMI JOIN tags USING (tag_id) WHERE latest_time >= TIMESTAMP '1997-01-01'"""
+)
+def daily_by_long_list(spark, sf_dir):
+    """The same copy by a list too long to broadcast: a filter made of it goes into the scan of the series."""
+    daily = A.derive(spark, sf_dir, "lineitem", A.DAILY)
+    tags = A.derive(spark, sf_dir, "orders", A.DAILY_TAGS)
+    return daily_series(daily, tags, since="1997-01-01 00:00", long_list=True)
+
+
 @query(
     f"""WITH {cte("hourly", A.HOURLY, "events")}, {cte("tags", A.HOURLY_TAGS, "orders")}
 SELECT *, strftime(latest_time, '%Y%m') AS yyyymm
@@ -518,9 +561,10 @@ def upsert_ignore_nulls(spark, sf_dir):
 
 @query(UPSERT_SQL)
 def upsert_broadcast(spark, sf_dir):
-    """The same upsert with the measured, bounded side broadcast."""
+    """The same upsert of a stored batch, whose size Spark knows: it decides on the broadcast."""
     old, new = customer_batches(spark, sf_dir)
-    return upsert(old, new, ["c_custkey"], order_by=[("batch", "desc")], broadcast_bytes=64 << 20)
+    new, _ = stage(new, "batch")
+    return upsert(old, new, ["c_custkey"], order_by=[("batch", "desc")])
 
 
 @query(
@@ -740,6 +784,13 @@ def sync_changed_narrow(spark, sf_dir):
     return flat(cohort_changes(source, target.union(target), EXCLUDED))
 
 
+@query(f"WITH {SYNC_CTES} SELECT {flat_sql(column_types(COHORT_TARGET), {})} FROM changed")
+def sync_by_ranges(spark, sf_dir):
+    """The same rows, found by comparing digests of id ranges first."""
+    source, target = cohort_sides(spark, sf_dir)
+    return flat(cohort_changes(source, target, EXCLUDED, ranges=256))
+
+
 @query(
     f"""WITH {SYNC_CTES}, state AS (
 SELECT * FROM changed WHERE suid IS NOT NULL
@@ -772,6 +823,26 @@ def changed_with_copies(spark, sf_dir):
     return changed_rows(lineitem, target, ["l_partkey", "l_quantity"])
 
 
+@query(
+    """
+SELECT l_orderkey, l_partkey, l_quantity FROM lineitem
+WHERE l_partkey % 50 = 7 AND NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_partkey % 50 = 7 AND r.l_quantity <= 25
+  AND r.l_partkey = lineitem.l_partkey AND r.l_quantity = lineitem.l_quantity)
+UNION ALL
+SELECT NULL, s_suppkey, NULL FROM supplier
+"""
+)
+def changed_ranges(spark, sf_dir):
+    """Changes in a fiftieth of the keys, found by range digests; the tables repeat keys and hold null ones."""
+    lineitem = A.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    unmatched = A.table(spark, sf_dir, "supplier").selectExpr(
+        "CAST(NULL AS bigint) AS l_orderkey", "s_suppkey AS l_partkey", "CAST(NULL AS double) AS l_quantity"
+    )
+    rows = lineitem.union(unmatched)
+    target = rows.filter("l_partkey % 50 <> 7 OR l_quantity <= 25")
+    return changed_rows_by_range(rows, target, ["l_partkey", "l_quantity"], ["l_partkey"])
+
+
 # --- incremental exports -------------------------------------------------------------------
 
 
@@ -871,10 +942,51 @@ def export_runs(spark, sf_dir):
     events = A.derive(spark, sf_dir, "events", A.AUDIT)
     shape = audit_events(events, "2024-01-15").schema
     for as_of in ("2024-01-10", "2024-01-15"):
-        replace_run(audit_events(events, "2024-01-15", as_of=as_of), path, "2024-01-15")
-    mark = mark_value(audit_mark(read_partitions(spark, path, shape)))
-    replace_run(audit_events(events, "2024-01-31", low=mark, as_of="2024-01-31"), path, "2024-01-31")
-    return read_partitions(spark, path, shape)
+        write_run(audit_events(events, "2024-01-15", as_of=as_of), path, "2024-01-15", newest=newest_audit())
+    low = last_mark(spark, path, "2024-01-31")
+    write_run(audit_events(events, "2024-01-31", low=low, as_of="2024-01-31"), path, "2024-01-31", newest=newest_audit())
+    return read_runs(spark, path, shape)
+
+
+@query(
+    f"""WITH {MACHINE_CTE}, timed AS (SELECT *, {NEWEST_SQL} AS newest FROM machines WHERE machineid IS NOT NULL)
+SELECT suid, machineid, CASE WHEN newest < TIMESTAMP '1995-01-01' THEN '2024-02-01'
+  WHEN newest < TIMESTAMP '1997-01-01' THEN '2024-02-02' ELSE '2024-02-10' END AS insert_date,
+  CASE WHEN newest < TIMESTAMP '1997-01-01' THEN '1' ELSE '2' END AS run_sequence
+FROM timed WHERE newest < TIMESTAMP '2001-01-01'"""
+)
+def machine_runs(spark, sf_dir):
+    """The export loop for machines: mark, window, run, mark; the second run is run twice, one has no rows."""
+    path = scratch_path(spark, "machine-export")
+    machines = machines_of(spark, sf_dir)
+    runs = [
+        ("2024-02-01", "1", "1995-01-02"), ("2024-02-02", "1", "1996-01-02"), ("2024-02-02", "1", "1997-01-02"),
+        ("2024-02-10", "1", "1997-01-02"), ("2024-02-10", "2", "2001-01-02"),
+    ]
+    for day, sequence, as_of in runs:
+        low = last_mark(spark, path, day, sequence)
+        rows = machine_snapshot(machines, day, sequence, low=low, as_of=as_of)
+        write_run(rows.select("suid", "machineid", *ACTIVITY_TIMES), path, day, sequence, newest=newest_machines())
+    return read_runs(spark, path, "suid string, machineid string, insert_date string, run_sequence string")
+
+
+@query(
+    """
+SELECT 'orders' AS table_name, 'main' AS database_name, '2024-02-01' AS insert_date, '1' AS run_sequence,
+  count(*) AS n_rows, epoch_ms(max(o_orderdate)) AS max_time_ms FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT 'orders', 'main', '2024-02-02', '1', 0, NULL
+"""
+)
+def marked_audit(spark, sf_dir):
+    """Audit lines with the newest time of each run, counted in its write; a run without rows has none."""
+    path, audit = scratch_path(spark, "marked"), scratch_path(spark, "marked-audit")
+    orders = A.table(spark, sf_dir, "orders")
+    newest = F.unix_millis(F.max("o_orderdate").cast("timestamp"))
+    for day, status in (("2024-02-01", "P"), ("2024-02-01", "F"), ("2024-02-02", "none")):
+        rows = orders.filter(F.col("o_orderstatus") == status)
+        export_run(rows, path, "orders", "main", day, "1", audit_path=audit, newest=newest)
+    return read_tree(spark, audit, MARKED_AUDIT_SCHEMA)
 
 
 DISABLED_TEXTS = {
