@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.sources.scratch import stored
+from tableferry.operators.keyfilter import key_filter, rows_with_keys, rows_without_keys
+from tableferry.sources.scratch import discard, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # everything below U+0080 but digits and letters
@@ -61,33 +62,15 @@ def _short_lengths(items: DataFrame, window: int) -> list[int]:
     return sorted(r[0] for r in short.collect())
 
 
-def decontaminate(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_id_col: str = "item_id",
-    item_text_col: str = "text",
-    window: int = 10,
-    k: int = 5,
-) -> DataFrame:
-    """``doc_id, text_key, n_words, n_hit, items, contaminated`` of every row of ``docs``.
+def _text_key(text: Column) -> Column:
+    return F.sha2(text, 256)
 
-    A stretch is ``window`` consecutive words of an item; an item of fewer words
-    is one stretch, one without words none. A document's word inside any
-    occurrence of a stretch is hit; ``items`` holds the ids of the items with
-    occurring stretches as text, sorted. Null and empty texts have no words.
-    Items without id hit but are not listed; an id that repeats counts once. The
-    result depends on the text alone, so repeated rows and ids are harmless; an
-    empty benchmark hits nothing. Other columns are ignored.
 
-    Documents that share no fingerprint with the benchmark leave after one pass;
-    positions are worked out only for the rest.
-    """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    docs = docs.withColumn("text_key", F.sha2("text", 256))
-    items = benchmark.select(F.col(item_id_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    items = _fingerprinted(items, window, k)
+def _found(docs: DataFrame, benchmark: DataFrame, window: int, k: int) -> tuple[DataFrame, DataFrame, str]:
+    """``doc_id, text_key, n_words`` of all rows, ``found_key, n_hit, items`` of the contaminated texts, both stored, and the former's path."""
+    spark = docs.sparkSession
+    docs = docs.withColumn("text_key", _text_key(F.col("text")))
+    items = _fingerprinted(benchmark, window, k)
     sizes = [window, *_short_lengths(items, window)]
     no_marks = F.array().cast("array<bigint>")
 
@@ -114,10 +97,12 @@ def decontaminate(
         return reduce(DataFrame.union, [spans(texts, size, *keys) for size in sizes])
 
     stretches = all_spans(items, "item").select("item", "size", "mark", "stretch").distinct()
+    stretches, stretches_at = stored(stretches, "stretches")
+    marks, marks_at = stored(stretches.select("mark").distinct(), "stretch-marks")
     texts = _fingerprinted(docs, window, k)
     winnowed = F.when(F.col("n") >= window, F.slice("mins", 1, F.col("n") - window + 1)).otherwise(no_marks)
     short = [each(size, no_marks) for size in sizes[1:]]
-    index, _ = stored(
+    index, index_at = stored(
         texts.select(
             "doc_id",
             "text_key",
@@ -126,25 +111,65 @@ def decontaminate(
         ),
         "winnow",
     )
+    # the marks leave where they are read, but for those of the benchmark and few others
     met = index.select("text_key", F.explode("marks").alias("mark"))
-    met = met.join(stretches.select("mark").distinct(), "mark", "left_semi").select("text_key").distinct()
-    # stored, so that the join with the texts has two fresh exchanges and the copies of one can be split
-    met, _ = stored(met, "met")
-
-    # the texts that share a fingerprint: extend its hits and compare the words;
-    # stored first, so that words are not worked out for the others again
-    close, _ = stored(docs.join(met, "text_key", "left_semi").select("text_key", "text"), "close")
-    # hits are per text, so one copy is enough
-    close = _fingerprinted(close.groupBy("text_key").agg(F.first("text").alias("text")), window, k)
+    met = met.where(key_filter(marks, ["mark"]).may_hold(F.col("mark"))).join(marks, "mark", "left_semi")
+    met, met_at = stored(met.select("text_key").distinct(), "met")
+
+    # the texts that share a fingerprint: extend its hits and compare the words. Only these are shuffled, one copy
+    # of each from a task; stored, so that words are not worked out for the others again
+    close = rows_with_keys(docs.select("text_key", "text"), [F.col("text_key")], met)
+    close, close_at = stored(close.groupBy("text_key").agg(F.first("text").alias("text")), "close")
+    close = _fingerprinted(close, window, k)
     hits = all_spans(close, "text_key").join(stretches, ["size", "mark", "stretch"])
-    hits, _ = stored(hits.select("text_key", "at", "size", "item").distinct(), "hits")
+    hits, hits_at = stored(hits.select("text_key", "at", "size", "item").distinct(), "hits")
     places = hits.select("text_key", "at", "size").distinct()
     places = places.select("text_key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at"))
     n_hit = places.distinct().groupBy("text_key").agg(F.count("*").alias("n_hit"))
     listed = hits.groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    # stored, so that the join below has two fresh exchanges and a text with many copies can be split
+    # stored, so that a join with it has two fresh exchanges and a text with many copies can be split
     found, _ = stored(n_hit.join(listed, "text_key").withColumnRenamed("text_key", "found_key"), "found")
-    return index.join(found, F.col("text_key") == F.col("found_key"), "left").select(
+    for path in (stretches_at, marks_at, met_at, close_at, hits_at):
+        discard(spark, path)
+    return index.select("doc_id", "text_key", "n_words"), found, index_at
+
+
+def _inputs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_id_col: str, item_text_col: str):
+    return (
+        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
+        benchmark.select(F.col(item_id_col).cast("string").alias("item"), F.col(item_text_col).alias("text")),
+    )
+
+
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = 10,
+    k: int = 5,
+) -> DataFrame:
+    """``doc_id, text_key, n_words, n_hit, items, contaminated`` of every row of ``docs``.
+
+    A stretch is ``window`` consecutive words of an item; an item of fewer words
+    is one stretch, one without words none. A document's word inside any
+    occurrence of a stretch is hit; ``items`` holds the ids of the items with
+    occurring stretches as text, sorted. Null and empty texts have no words.
+    Items without id hit but are not listed; an id that repeats counts once. The
+    result depends on the text alone, so repeated rows and ids are harmless; an
+    empty benchmark hits nothing. Other columns are ignored.
+
+    Documents that share no fingerprint with the benchmark leave after one pass;
+    positions are worked out only for the rest, and no other text is shuffled.
+    """
+    index, found, _ = _found(*_inputs(docs, benchmark, id_col, text_col, item_id_col, item_text_col), window, k)
+    # rows that cannot be found stay where they are
+    may = key_filter(found, ["found_key"]).may_hold(F.col("text_key"))
+    clean = index.where(~F.coalesce(may, F.lit(False))).select("*", *[F.lit(None).cast(t).alias(c) for c, t in found.dtypes])
+    rest = index.where(may).join(found, F.col("text_key") == F.col("found_key"), "left")
+    return clean.union(rest).select(
         "doc_id",
         "text_key",
         "n_words",
@@ -152,3 +177,15 @@ def decontaminate(
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 10, k: int = 5
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`decontaminate` does not call contaminated, whole, in their columns.
+
+    Texts of other rows than those in question are not shuffled.
+    """
+    _, found, index_at = _found(*_inputs(docs, benchmark, id_col, text_col, "item_id", "text"), window, k)
+    discard(docs.sparkSession, index_at)
+    return rows_without_keys(docs, [_text_key(F.col(text_col))], found.select("found_key"))
