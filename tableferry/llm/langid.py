@@ -18,7 +18,7 @@ UNKNOWN = "und"
 SPACE = 32
 # The driver holds a profile of each language; more distinct labels than this are refused.
 MOST_LANGUAGES = 10_000
-# characters counted together; a longer text is counted in pieces of this size and summed
+# characters counted together; the counts of a longer text's pieces are summed and equal those of the whole
 PIECE = 1 << 20
 # a code point takes 21 bits, so three fit a key
 SHIFT = np.uint64(21)
@@ -30,23 +30,27 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def _piece_grams(codes: np.ndarray) -> np.ndarray:
-    """Keys of the 1- to 3-grams of words; a word has a space on each side."""
-    codes = np.where(_letters()[codes], codes, np.uint32(SPACE))
-    space = codes == SPACE
-    kept = ~(space & np.r_[False, space[:-1]])
-    codes, space = codes[kept].astype(np.uint64), space[kept]
+def _piece_grams(codes: np.ndarray, before: int) -> np.ndarray:
+    """Keys of the 1- to 3-grams that end after the first ``before`` characters; a word has a space on each side."""
+    space, codes = codes == SPACE, codes.astype(np.uint64)
     two = codes[:-1] | (codes[1:] << SHIFT)
     three = two[:-1] | (codes[2:] << (SHIFT + SHIFT))
-    return np.concatenate([codes[~space], two, three[~space[1:-1]]])
+    return np.concatenate([codes[before:][~space[before:]], two[max(before - 1, 0) :], three[~space[1:-1]]])
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The distinct n-grams of a whole text as keys in order, and their counts; none without a letter."""
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype="<u4")
     keys, counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    # the last characters kept, so that n-grams across a cut count too
+    tail = np.empty(0, dtype=np.uint32)
     for start in range(0, len(codes), PIECE):
-        found = np.sort(_piece_grams(codes[start : start + PIECE]))
+        piece = codes[start : start + PIECE]
+        piece = np.where(_letters()[piece], piece, np.uint32(SPACE))
+        space = piece == SPACE
+        kept = np.r_[tail, piece[~(space & np.r_[tail[-1:] == SPACE if len(tail) else False, space[:-1]])]]
+        found = np.sort(_piece_grams(kept, len(tail)))
+        tail = kept[-2:]
         if not len(found):
             continue
         at = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,13 +113,55 @@ def test_language_without_labels_or_rows(docs_of):
     assert (row["lang_pred"], row["score"]) == ("und", 0.0)
 
 
-def test_long_texts_are_counted_whole(monkeypatch):
-    text = "ab cd abc " * 50
-    whole = langid.grams(text)
-    monkeypatch.setattr(langid, "PIECE", 101)
-    keys, counts = langid.grams(text)
-    # grams across a cut are not counted, all others are
-    assert 0.9 < counts.sum() / whole[1].sum() <= 1 and set(keys) <= set(whole[0])
+@pytest.mark.parametrize("piece", [1, 2, 3, 5, 101])
+def test_long_texts_are_counted_whole(monkeypatch, piece):
+    for text in ("ab cd abc " * 30, " .. a  b\n\ncd!?e   " * 9, "x", "é", "", " ", "Straße 12 und über"):
+        with monkeypatch.context() as patch:
+            whole = langid.grams(text)
+            patch.setattr(langid, "PIECE", piece)
+            cut = langid.grams(text)
+        assert [x.tolist() for x in cut] == [x.tolist() for x in whole]
+
+
+def plain_profile(text, size):
+    """N-grams of the words, most frequent first, equal counts in the order of their characters from the last on."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    found = Counter()
+    for word in words:
+        padded = f" {word} "
+        found.update(word)
+        found.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    # spaces between two words are one and the same
+    line = " " + " ".join(words) + " "
+    found.update(line[i : i + 2] for i in range(len(line) - 1))
+
+    def key(gram):
+        return sum(ord(c) << (21 * i) for i, c in enumerate(gram))
+
+    return [g for g, _ in sorted(found.items(), key=lambda x: (-x[1], key(x[0])))][:size], key
+
+
+def test_language_against_plain_out_of_place_distances():
+    rng = random.Random(8)
+    alphabets = {"aa": "abcde", "bb": "cdefg", "cc": "aeéß"}
+    texts = {lang: " ".join("".join(rng.choices(letters, k=rng.randrange(1, 6))) for _ in range(300)) for lang, letters in alphabets.items()}
+    size = 40
+    ranked = {lang: plain_profile(t, size)[0] for lang, t in texts.items()}
+    key = plain_profile("x", size)[1]
+    profiles = langid.Profiles({lang: [key(g) for g in grams] for lang, grams in ranked.items()}, size)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices("abcdefgé.1", k=rng.randrange(1, 7))) for _ in range(rng.randrange(1, 30)))
+        top, _ = plain_profile(text, size)
+        if not top:
+            continue
+        distance = {
+            lang: sum(min(abs(grams.index(g) - i), size) if g in grams else size for i, g in enumerate(top))
+            for lang, grams in ranked.items()
+        }
+        best = min(sorted(distance), key=distance.get)
+        want = 1 - distance[best] / (len(top) * size)
+        lang, score = profiles.predict(text)
+        assert score == pytest.approx(want) and (lang == best or want == 0)
 
 
 def plain_base(t):
