@@ -325,16 +325,18 @@ def read_packages(packages: DataFrame, folder: str, with_payload: bool = False)
                 start = data_start(read, members[DATA])
                 at, left, rest = data_start(read, members[INDEX]), members[INDEX].size, b""
                 spans: list[tuple[int, list[int]]] = []
+                end = 0
                 while left:
                     size = min(left, FETCH)
                     *lines, rest = (rest + read(at, size)).split(b"\n")
                     at, left = at + size, left - size
                     for line in map(json.loads, lines):
                         offset, length = start + line["offset"], line["length"]
-                        if spans and spans[-1][0] + sum(spans[-1][1]) == offset and sum(spans[-1][1]) + length <= FETCH:
+                        if spans and end == offset and offset + length - spans[-1][0] <= FETCH:
                             spans[-1][1].append(length)
                         else:
                             spans.append((offset, [length]))
+                        end = offset + length
                     if len(spans) > 1:
                         yield _ranges(name, spans[:-1])
                         spans = spans[-1:]
