@@ -24,7 +24,8 @@ class PieceCounter:
     """Counts the pieces a sentencepiece BPE model with byte fallback makes of a text.
 
     The model must leave text as it is but for the space mark and the mark put
-    before the text, and must not define symbols of its own; anything else is refused.
+    before the text; one that does not is refused. It must not define symbols of
+    its own either, which a loaded model does not tell, so that is up to the caller.
     """
 
     def __init__(self, file: str):
