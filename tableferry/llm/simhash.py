@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from tableferry.llm.components import connected_components
 from tableferry.llm.slices import text_slices
+from tableferry.operators.keyfilter import rows_with_keys, rows_without_keys
 from tableferry.sources.scratch import discard, stored
 
 SEED = 42
@@ -134,6 +135,8 @@ def near_pairs(fps: DataFrame, max_distance: int, limit: int = BUCKET_LIMIT) ->
     probes = probes.select("start", key.bitwiseXOR(F.col("flip")).alias("key"), F.col("fp").alias("b"))
 
     crowded = indexed.groupBy("start", "key").count().where(F.col("count") > limit).select("start", "key")
+    # stored, so that a join with it has two fresh exchanges and a crowded key can be split
+    crowded, _ = stored(crowded, "simhash-crowded")
     differ = F.col("a").bitwiseXOR(F.col("b"))
     n = len(ring)
     chain_ok = [
@@ -173,6 +176,30 @@ def ball_links(fps: DataFrame, max_distance: int) -> DataFrame:
     return links.where(F.col("a") < F.col("b")).distinct()
 
 
+def _components(rows: DataFrame, max_distance: int, bucket_limit: int) -> tuple[DataFrame, str]:
+    """``fp, component_key, component_id`` of the fingerprints whose component has more than one row, stored, and its path."""
+    spark = rows.sparkSession
+    smallest = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    smallest, smallest_at = stored(smallest, "simhash-distinct")
+    if max_distance:
+        pairs, crowded = near_pairs(smallest.select("fp"), max_distance, bucket_limit)
+        parts = connected_components(pairs.union(ball_links(crowded, max_distance)), "a", "b")
+        keyed = smallest.join(parts, F.col("fp") == F.col("node"), "left").select(
+            "fp", "first_id", "copies", F.coalesce("component", "fp").alias("component_key")
+        )
+    else:
+        keyed = smallest.withColumn("component_key", F.col("fp"))
+    # both stored, so that the join has two fresh exchanges and a large component can be split
+    keyed, keyed_at = stored(keyed, "simhash-keyed")
+    firsts = keyed.groupBy("component_key").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("members"))
+    # only what differs from the row's own values has to reach the rows
+    firsts, firsts_at = stored(firsts.where(F.col("members") > 1).select("component_key", "component_id"), "simhash-firsts")
+    known, known_at = stored(keyed.join(firsts, "component_key").select("fp", "component_key", "component_id"), "simhash-known")
+    for path in (smallest_at, keyed_at, firsts_at):
+        discard(spark, path)
+    return known, known_at
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -193,29 +220,9 @@ def near_duplicates(
     """
     if max_distance % 2 or not 0 <= max_distance <= 8:
         raise ValueError("max_distance must be even and at most 8")
-    spark = docs.sparkSession
     rows, _ = stored(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
-    smallest = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    if max_distance:
-        distinct, distinct_at = stored(smallest.select("fp"), "simhash-distinct")
-        pairs, crowded = near_pairs(distinct, max_distance, bucket_limit)
-        links = pairs.union(ball_links(crowded, max_distance))
-        parts = connected_components(links, "a", "b")
-        discard(spark, distinct_at)
-        smallest = smallest.join(parts, F.col("fp") == F.col("node"), "left").select(
-            "fp", "first_id", "copies", F.coalesce("component", "fp").alias("component_key")
-        )
-    else:
-        smallest = smallest.withColumn("component_key", F.col("fp"))
-    firsts = smallest.groupBy("component_key").agg(
-        F.min("first_id").alias("component_id"), F.sum("copies").alias("members")
-    )
-    # only what differs from the row's own values has to reach the rows
-    known = (
-        smallest.join(firsts, "component_key")
-        .where(F.col("members") > 1)
-        .select(F.col("fp").alias("known_fp"), "component_key", "component_id")
-    )
+    known, _ = _components(rows, max_distance, bucket_limit)
+    known = known.select(F.col("fp").alias("known_fp"), "component_key", "component_id")
     return rows.join(known, rows.fp == known.known_fp, "left").select(
         "doc_id",
         "text_key",
@@ -232,18 +239,27 @@ def first_of_each(
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id.
 
     Rows without id come last; of rows with the same id the one whose text has
-    the smallest digest stays, of wholly equal rows one.
+    the smallest digest stays, of wholly equal rows one. The rows to drop are
+    picked by id and digest; no text is shuffled but of rows that repeat wholly.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle_words, max_distance)
-    rows = found.groupBy("component_key", "doc_id", "text_key").agg(F.count("*").alias("times"))
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "times")
-    firsts = rows.groupBy("component_key").agg(F.min(order).alias("first"))
-    firsts = firsts.select(
-        F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"), F.col("first.times").alias("__times")
+    spark = docs.sparkSession
+    rows, rows_at = stored(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
+    known, known_at = _components(rows, max_distance, BUCKET_LIMIT)
+    known = known.select(F.col("fp").alias("known_fp"), "component_key")
+    # a component of one row keeps it
+    members, members_at = stored(
+        rows.join(known, F.col("fp") == F.col("known_fp")).groupBy("component_key", "doc_id", "text_key").agg(F.count("*").alias("times")),
+        "simhash-members",
     )
-    keyed = docs.withColumn("__text_key", F.sha2(text_col, 256))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col("__text_key").eqNullSafe(F.col("__key"))
-    kept, _ = stored(keyed.join(firsts, same), "firsts")
-    once = kept.where(F.col("__times") == 1)
-    again = kept.where(F.col("__times") > 1).dropDuplicates([id_col, "__text_key"])
-    return once.union(again).select(*docs.columns)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    firsts = members.groupBy("component_key").agg(F.min(order).alias("first"))
+    firsts, firsts_at = stored(firsts.withColumnRenamed("component_key", "of"), "simhash-first-rows")
+    picked = members.join(firsts, F.col("component_key") == F.col("of")).withColumn("is_first", order.eqNullSafe(F.col("first")))
+    # the first row goes too if it repeats, and one of its copies comes back
+    drop, _ = stored(picked.where(~F.col("is_first") | (F.col("times") > 1)).select("doc_id", "text_key"), "simhash-drop")
+    again, _ = stored(picked.where(F.col("is_first") & (F.col("times") > 1)).select("doc_id", "text_key"), "simhash-again")
+    for path in (rows_at, known_at, members_at, firsts_at):
+        discard(spark, path)
+    keys = [F.col(id_col), F.sha2(text_col, 256)]
+    one = rows_with_keys(docs, keys, again).withColumn("__text_key", keys[1]).dropDuplicates([id_col, "__text_key"])
+    return rows_without_keys(docs, keys, drop).union(one.drop("__text_key"))
