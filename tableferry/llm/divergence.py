@@ -8,11 +8,10 @@ again only for the terms that are reported.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,8 +19,10 @@ from pyspark.sql.window import Window
 from tableferry.llm.slices import text_slices
 from tableferry.sources.scratch import discard, stored
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# everything below U+0080 but letters
+NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# text bytes counted together
+SLICE = 4 << 20
 GROUP = ["lang", "source"]
 # a term is known by its digest and, among terms that share one, by a number
 KEY = ["digest", "split"]
@@ -35,23 +36,24 @@ def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str)
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, 2):
-            groups, terms, ns = [], [], []
+        for batch in text_slices(batches, 2, SLICE):
             numbers: dict[tuple[str, str], int] = {}
             pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for pair, body in zip(pairs, batch.column(2)):
-                # one match at a time: a long text holds its distinct terms only
-                found = Counter(map(re.Match.group, TERM.finditer(body.as_py().translate(LOWER))))
-                groups += [numbers.setdefault(pair, len(numbers))] * len(found)
-                terms += found.keys()
-                ns += found.values()
-            table = pa.table({"g": pa.array(groups, pa.int32()), "term": pa.array(terms, pa.string()), "n": pa.array(ns, pa.int64())})
-            summed = table.group_by(["g", "term"]).aggregate([("n", "sum"), ("n", "count")]).combine_chunks()
-            for part in summed.to_batches():
+            group_of = pa.array([numbers.setdefault(pair, len(numbers)) for pair in pairs], pa.int32())
+            # ascii_lower() lowers A-Z and nothing else
+            parts = pc.split_pattern_regex(pc.ascii_lower(batch.column(2)), NO_TERM)
+            terms = parts.flatten().dictionary_encode()
+            found = pa.table({"row": pc.list_parent_indices(parts), "term": terms.indices})
+            # only the ends of a text can be empty
+            found = found.filter(pc.not_equal(terms.dictionary, "").take(terms.indices))
+            found = found.group_by(["row", "term"], use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+            found = pa.table({"g": group_of.take(found["row"]), "term": found["term"], "n": found["count_all"]})
+            summed = found.group_by(["g", "term"], use_threads=False).aggregate([("n", "sum"), ("n", "count")])
+            for part in summed.combine_chunks().to_batches():
                 at = part.column("g")
                 lang, source = (pa.array([pair[i] for pair in numbers], pa.string()).take(at) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [lang, source, part.column("term"), part.column("n_sum"), part.column("n_count")],
+                    [lang, source, terms.dictionary.take(part.column("term")), part.column("n_sum"), part.column("n_count")],
                     ["lang", "source", "term", "n", "docs"],
                 )
 
