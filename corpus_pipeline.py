@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm import bpe, langid, pii, simhash
-from tableferry.llm.decontaminate import decontaminate
+from tableferry.llm.decontaminate import without_contaminated
 from tableferry.llm.queries import VOCABULARY
 from tableferry.sources.scratch import stored
 
@@ -36,11 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold ten consecutive words of a benchmark item, or a whole shorter one."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontaminate(docs, items, window=10).where("contaminated").select(F.col("text_key").alias("__hit")).distinct()
-    # stored, so that the join has two fresh exchanges and rows of one key can be split
-    hit, _ = stored(hit, "pipeline-hit")
-    keyed = docs.withColumn("__text_key", F.sha2("text", 256))
-    return keyed.join(hit, F.col("__text_key") == F.col("__hit"), "left_anti").drop("__text_key")
+    return without_contaminated(docs, items, window=10)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
