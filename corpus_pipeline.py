@@ -11,6 +11,16 @@ from tableferry.llm.decontaminate import without_contaminated
 from tableferry.llm.queries import VOCABULARY
 from tableferry.sources.scratch import stored
 
+# Rows that go to a Python worker at a time: whole texts, held by it and by Spark.
+BATCH_ROWS = 1000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    """Bound what a batch of texts takes, unless the launcher has."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(BATCH_ROWS))
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is recognised.
@@ -20,6 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     alphabet and the length, so they reject nothing. Where no language could be
     learned, nothing is rejected.
     """
+    _short_batches(spark)
     profiles = langid.learn_unheld(docs)
     if not profiles.names:
         return docs
@@ -30,6 +41,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: the one with the smallest id (4-word shingles, 4 bits)."""
+    _short_batches(spark)
     return simhash.first_of_each(docs, shingle_words=4, max_distance=4)
 
 
@@ -41,6 +53,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put the kind in place of each span of personal data; ``n_chars`` follows the text."""
+    _short_batches(spark)
     clean = pii.with_personal_data(docs, "text", "__spans", "text").drop("__spans")
     n_chars = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return clean.withColumn("n_chars", n_chars).select(*docs.columns)
@@ -48,6 +61,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add the token ids, checked by decoding; only documents that come back as they were go out."""
+    _short_batches(spark)
     checked = bpe.with_ids(docs, "text", "token_ids", VOCABULARY, public_tokenizers.PATTERN, bytes_col="__bytes")
     same = F.col("__bytes") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return checked.where(same).withColumn("n_tokens", F.size("token_ids").cast("long")).drop("__bytes")
