@@ -211,6 +211,13 @@ def union_tables(spark, sf_dir):
     return union_all(union_parts(spark, sf_dir))
 
 
+@query("SELECT o_orderkey AS key, o_orderstatus AS label FROM orders UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def union_by_position(spark, sf_dir):
+    """Union of tables whose columns have other names: the first one's hold."""
+    orders = A.table(spark, sf_dir, "orders").selectExpr("o_orderkey AS key", "o_orderstatus AS label")
+    return union_all([orders, A.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")], by_name=False)
+
+
 @query(UNION_PARTS, name="seed_readback")
 def tree_roundtrip(spark, sf_dir):
     """The four tables united, written as a new tree, and read back with a declared schema."""
