@@ -1,25 +1,27 @@
 """Balanced label propagation: linked documents gather in shards of equal row counts.
 
 Documents are linked through hubs (here: equal texts), each through one at most.
-A hub takes the label that most of its documents start with, if that shard has
-room for all of them, or else that of the best open shard; the largest hubs choose
-first. As no document has two hubs, one round settles all. Documents without
-links then fill the shards up to counts at most one apart.
+In rounds, hubs ask for the shard most of their documents are in, and whole hubs
+move there as far as its quota allows; those refused ask again for what is still
+open. Documents without links then fill the shards up to counts at most one apart.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tableferry.sources.scratch import stored
+from tableferry.sources.scratch import discard, stored
 
 BUCKETS = 4096
 # What a row's place rests on, in the order in which rows move on to even the counts out.
 ALONE, SPLIT, WHOLE = 0, 1, 2
+# Requests are granted in cells of hubs of about one size: so many sizes and so many shares per doubling.
+SIZES, SHARES = 8, 64
+PLACED = "hub string, targets array<struct<end: long, shard: int>>, level int"
 
 
 def _quota(total: int, shards: int) -> list[int]:
@@ -27,106 +29,122 @@ def _quota(total: int, shards: int) -> list[int]:
     return [total // shards + (s < total % shards) for s in range(shards)]
 
 
-def _pack(cells: dict[int, dict[int, int]], quota: list[int], keep: bool, reserve: bool) -> tuple[int, dict]:
-    """Shards for hubs, given how many there are of each size and label.
+def _spread(large: list[tuple[str, int, dict]], room: list[int]) -> list[tuple]:
+    """Several shards for each hub larger than a shard: whole empty ones, then the rest in one more.
 
-    Returns how many hubs are split that are no larger than a shard, and per
-    (size, label) what its hubs get, as (shards, level, hubs) in turn. With
-    ``keep`` a hub stays at its label where that has room; with ``reserve`` hubs
-    larger than a shard fill whole shards before all others.
+    What they take leaves ``room``. There are fewer such hubs than shards.
     """
-    room, late, split = list(quota), [], 0
-    got: dict[tuple[int, int], list[tuple[list[int], int, int]]] = {}
-
-    def put(n: int, left: dict[int, int], label: int, shard: int) -> None:
-        fit = min(left[label], max(0, room[shard]) // n)
-        if fit:
-            got.setdefault((n, label), []).append(([shard], WHOLE, fit))
-            left[label] -= fit
-            room[shard] -= fit * n
-
-    for n in sorted(cells, reverse=True):
-        left = dict(sorted(cells[n].items()))
-        if n > max(quota):
-            for label, hubs in left.items():
-                for _ in range(hubs):
-                    rest, taken = n, []
-                    for s in sorted(range(len(quota)), key=lambda s: (s != label, s)):
-                        if reserve and 0 < room[s] == quota[s] <= rest:
-                            taken.append(s)
-                            rest, room[s] = rest - room[s], 0
-                    got.setdefault((n, label), []).append((taken, SPLIT, 1))
-            continue
-        for label in left if keep else ():
-            put(n, left, label, label)
-        # the shard with the least room that is enough
-        for shard in sorted(range(len(quota)), key=lambda s: (room[s], s)):
-            for label in left:
-                put(n, left, label, shard)
-        late += [(n, label, hubs) for label, hubs in left.items() if hubs]
-    for n, label, hubs in late:
-        split += hubs
-        for _ in range(hubs):
-            shard = max(range(len(quota)), key=lambda s: (room[s], -s))
-            got.setdefault((n, label), []).append(([shard], SPLIT, 1))
-            room[shard] -= n
-    return split, got
-
-
-def propagate(links: DataFrame, quota: list[int], buckets: int = BUCKETS) -> DataFrame:
-    """``hub, targets, level`` for ``links`` of ``hub, label``, a row per document.
-
-    The level is WHOLE where all the hub's documents fit its one target; no shard
-    gets more than its quota of these. A hub is split only if it is larger than a
-    shard (it may then have several targets, or none: its documents keep their
-    labels), or if the larger ones left no shard with room for it; of four ways to
-    pack the one that splits fewest is taken (the best of all is not searched for).
-
-    Hubs are counted per size, label and hash bucket, with the fewer buckets the
-    larger the size; from these counts the driver works out what each bucket's
-    hubs get. Their number grows with that of the different sizes, which is at
-    most the square root of twice the rows.
+    empty, out = list(room), []
+    for hub, n, votes in sorted(large, key=lambda h: (-h[1], h[0])):
+        order = sorted(range(len(room)), key=lambda s: (-votes.get(s, 0), s))
+        rest, targets = n, []
+        for s in order:
+            if 0 < room[s] == empty[s] <= rest:
+                rest, room[s] = rest - room[s], 0
+                targets.append((n - rest, s))
+        if rest:
+            # a shard already begun if the rest fits there, else the one with most room
+            begun = [s for s in order if rest <= room[s] < empty[s]]
+            s = begun[0] if begun else max(order, key=lambda s: room[s])
+            room[s] -= min(room[s], rest)
+            targets.append((n, s))
+        out.append((hub, targets, SPLIT))
+    return out
+
+
+def _asked(room: list[int], turn: int) -> Column:
+    """The shard a hub of ``n`` documents asks for: most votes of those with room for it; null if there is none."""
+    shards = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(r).cast("long").alias("room")) for s, r in enumerate(room)])
+    fits = F.filter(shards, lambda o: o["room"] >= F.col("n"))
+    ranked = F.transform(
+        fits,
+        lambda o: F.struct(
+            F.coalesce(F.try_element_at("votes", o["shard"]), F.lit(0).cast("long")).alias("votes"),
+            F.xxhash64(F.lit(turn), "hub", o["shard"]).alias("tie"),
+            o["shard"].alias("shard"),
+        ),
+    )
+    return F.array_max(ranked)["shard"]
+
+
+def _granted(left: DataFrame, room: list[int], turn: int) -> DataFrame:
+    """``left`` with the shard each hub asks for and whether that takes it, large hubs first.
+
+    Requests for a shard are summed in cells, and cells are granted in order while
+    they fit. Within a size a cell holds a share of the hubs, each share a little
+    larger than the one before, so the cell that no longer fits is a small part of
+    what was granted, at any number of hubs.
+    """
+    share = (F.shiftrightunsigned(F.xxhash64(F.lit(-1 - turn), "hub"), 11) + 1) / F.lit(float(1 << 53))
+    asking = left.withColumn("ask", _asked(room, turn)).withColumns({
+        "rank": F.floor(F.log2(F.col("n").cast("double")) * SIZES).cast("int"),
+        "cell": F.floor(-F.log2(share) * SHARES).cast("int"),
+    })
+    cells = asking.where(F.col("ask").isNotNull()).groupBy("ask", "rank", "cell").agg(F.sum("n").alias("rows"))
+    # a bounded number of cells a shard, whatever the input
+    order = Window.partitionBy("ask").orderBy(F.desc("rank"), F.desc("cell"))
+    open_ = F.get(F.array(*[F.lit(r).cast("long") for r in room]), F.col("ask"))
+    taken = cells.withColumn("upto", F.sum("rows").over(order)).where(F.col("upto") <= open_)
+    taken = taken.select("ask", "rank", "cell", F.lit(True).alias("granted"))
+    out = asking.join(taken, ["ask", "rank", "cell"], "left")
+    return out.select("hub", "n", "votes", "ask", F.coalesce("granted", F.lit(False)).alias("granted"))
+
+
+def propagate(links: DataFrame, quota: list[int]) -> tuple[DataFrame, list[int]]:
+    """``hub, targets, level`` for ``links`` of ``hub, label``, a row per document; and the links cut, round by round.
+
+    A document has one hub at most, so a hub's counts per label are the votes of
+    its documents' neighbours. In each round every hub that is not whole yet asks
+    for the shard with most of its votes, of those that have room for all of it;
+    a hash settles equal votes. Each shard grants requests up to its room, those
+    of large hubs first. Only whole hubs take up room: documents of hubs that
+    still ask count as leaving, so that full shards exchange documents. Hubs
+    refused ask again in the next round; the rounds end when no shard has room
+    for a hub that is left. Each round takes up more than half of the room of a
+    shard that refuses some, so the rounds grow with the logarithm of the rows.
+
+    Of a hub's documents those whose drawn place is below an ``end`` of
+    ``targets`` go to its shard. The level is WHOLE where all go to one; no shard
+    gets more than its quota of these. It is SPLIT for hubs larger than a shard,
+    and for those the rounds left, which keep the label with most votes. The
+    latter are fewer than the shards, as no shard has room for the smallest.
+
+    A link is cut where a document is not with most of its hub's; their number is
+    given before the first round and after each, hubs larger than a shard apart.
+    The driver sees the room of each shard and the hubs larger than one.
     """
     spark = links.sparkSession
     votes = links.groupBy("hub", "label").agg(F.count("*").alias("n"))
-    weight = F.struct(F.col("n"), F.xxhash64("hub", "label").alias("tie"), F.col("label"))
-    hubs = votes.groupBy("hub").agg(F.sum("n").alias("n"), F.max(weight)["label"].alias("label")).where(F.col("n") > 1)
-    bucket = F.pmod(F.xxhash64(F.lit("hub"), "hub"), F.greatest(F.lit(1), F.lit(buckets) / F.col("n")).cast("long"))
-    # stored, so that counts and places are of the same rows
-    hubs, _ = stored(hubs.withColumn("bucket", bucket), "hubs")
-    counted = sorted(tuple(r) for r in hubs.groupBy("n", "label", "bucket").count().collect())
-    cells: dict[int, dict[int, int]] = {}
-    for n, label, _, count in counted:
-        cells.setdefault(n, {}).setdefault(label, 0)
-        cells[n][label] += count
-    got: dict = {}
-    fewest = None
-    for keep, reserve in ((True, True), (False, True), (True, False), (False, False)):
-        split, tried = _pack(cells, quota, keep, reserve)
-        if fewest is None or split < fewest:
-            fewest, got = split, tried
-        if not fewest:
-            break
-    plan = []
-    for n, label, number, count in counted:
-        queue, first = got[n, label], 0
-        while first < count:
-            targets, level, many = queue[0]
-            end = min(count, first + many)
-            plan.append((n, label, number, first, end, targets, level))
-            if many > end - first:
-                queue[0] = (targets, level, many - (end - first))
-            else:
-                queue.pop(0)
-            first = end
-    plan = spark.createDataFrame(
-        plan or [(0, 0, 0, 0, 0, [], 0)],
-        "n long, label int, bucket long, first long, end long, targets array<int>, level int",
-    )
-    near = Window.partitionBy("n", "label", "bucket").orderBy("hub")
-    placed = hubs.withColumn("nth", F.row_number().over(near) - 1).join(F.broadcast(plan), ["n", "label", "bucket"])
-    placed = placed.where((F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("end")))
-    return placed.select("hub", "targets", "level")
+    # of a hub at most one entry a shard
+    entries = F.collect_list(F.struct("label", "n"))
+    hubs = votes.groupBy("hub").agg(F.sum("n").alias("n"), F.map_from_entries(entries).alias("votes"))
+    hubs, path = stored(hubs.where(F.col("n") > 1), "hubs")
+    paths, room, largest = [path], list(quota), max(quota, default=0)
+    large = [(r["hub"], r["n"], r["votes"]) for r in hubs.where(F.col("n") > largest).collect()]
+    placed = spark.createDataFrame(_spread(large, room), PLACED)
+    left, cuts, asks = hubs.where(F.col("n") <= largest), [], True
+    apart = F.col("n") - F.array_max(F.map_values("votes"))
+    while asks:
+        turned, path = stored(_granted(left, room, len(paths)), "round")
+        paths.append(path)
+        told = turned.groupBy("ask", "granted").agg(F.sum("n").alias("n"), F.sum(apart).alias("cut")).collect()
+        for r in told:
+            if r["granted"]:
+                room[r["ask"]] -= r["n"]
+        if not cuts:
+            cuts.append(sum(r["cut"] for r in told))
+        cuts.append(sum(r["cut"] for r in told if not r["granted"]))
+        asks = any(r["ask"] is not None and not r["granted"] for r in told)
+        whole = F.array(F.struct(F.col("n").alias("end"), F.col("ask").alias("shard")))
+        placed = placed.union(turned.where("granted").select("hub", whole, F.lit(WHOLE)))
+        left = turned.where("not granted").select("hub", "n", "votes")
+    most = F.array_max(F.transform(F.map_entries("votes"), lambda e: F.struct(e["value"], -e["key"])))["col2"]
+    kept = F.array(F.struct(F.col("n").alias("end"), (-most).alias("shard")))
+    # stored, so that a join with it has two fresh exchanges and a large hub can be split
+    placed, _ = stored(placed.union(left.select("hub", kept, F.lit(SPLIT))), "placed")
+    for path in paths:
+        discard(spark, path)
+    return placed, cuts
 
 
 def _plan(cells: list[tuple[int, int, int, int]], quota: list[int]) -> tuple[list[tuple], list[tuple[int, int, int, int]]]:
@@ -190,8 +208,8 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, size, text_crc32, group, shard, slot`` of every row; row counts of shards are at most one apart.
 
     ``size`` is the text's bytes plus 1, ``group`` stands for equal texts, and
-    groups stay together as far as the counts allow (see :func:`propagate`); one
-    that is larger than a shard spreads over several. Null texts have size 1, a
+    groups stay together but for fewer of them than there are shards (see
+    :func:`propagate`) and those larger than a shard, which spread over several. Null texts have size 1, a
     null checksum and no group. Repeated rows and ids are separate rows; a null
     id is kept as it is. Other columns are ignored. An empty table gives no rows.
     """
@@ -207,11 +225,9 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     quota = _quota(base.count(), shards)
     start = F.pmod(F.xxhash64(F.lit("start"), "uid"), F.lit(shards)).cast("int")
     links = base.where(F.col("group").isNotNull()).select(F.col("group").alias("hub"), start.alias("label"))
-    # stored, so that the join has two fresh exchanges and a large group can be split
-    hubs, _ = stored(propagate(links, quota), "placed")
-    many = F.size("targets")
-    pick = F.pmod(F.xxhash64(F.lit("pick"), "uid"), many).cast("int")
-    label = F.when(many > 0, F.get("targets", pick)).otherwise(start)
+    hubs, _ = propagate(links, quota)
+    drawn = F.pmod(F.xxhash64(F.lit("pick"), "uid"), F.try_element_at("targets", F.lit(-1))["end"])
+    label = F.coalesce(F.get(F.filter("targets", lambda t: t["end"] > drawn), F.lit(0))["shard"], start)
     rows = base.join(hubs, F.col("group") == F.col("hub"), "left").select(
         *base.columns, label.alias("label"), F.coalesce("level", F.lit(ALONE)).alias("level")
     )

@@ -299,3 +299,59 @@ def test_groups_of_many_sizes(docs_of):
     check_shards(found, 8)
     # only what is left when every shard is all but full
     assert len(split_groups(found)) < 8
+
+
+def placed_by(spark, held, quota):
+    """What the propagation does with hubs given as {hub: labels of its documents}."""
+    rows = [(hub, label) for hub, labels in held.items() for label in labels]
+    placed, cuts = sharding.propagate(spark.createDataFrame(rows, "hub string, label int"), quota)
+    placed = {r["hub"]: ([(t["end"], t["shard"]) for t in r["targets"]], r["level"]) for r in placed.collect()}
+    cut = {h: len(labels) - max(labels.count(s) for s in labels) for h, labels in held.items()}
+    assert cuts[0] == sum(cut[h] for h, labels in held.items() if len(labels) <= max(quota))
+    assert cuts == sorted(cuts, reverse=True)
+    return placed, cuts, cut
+
+
+def test_hubs_go_where_most_of_their_documents_are(spark):
+    rng = random.Random(5)
+    held = {f"h{i}": [rng.randrange(4) for _ in range(rng.randint(2, 9))] for i in range(200)}
+    placed, cuts, _ = placed_by(spark, held, [2000] * 4)
+    assert cuts[1:] == [0]
+    for hub, labels in held.items():
+        ((end, shard),), level = placed[hub]
+        most = max(labels.count(s) for s in labels)
+        assert (end, level) == (len(labels), sharding.WHOLE) and labels.count(shard) == most
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_propagation_ends_where_nothing_fits(spark, seed):
+    rng = random.Random(seed)
+    held = {f"h{i}": [rng.choice([0, 0, 0, 1, 2, 3]) for _ in range(rng.choice([2, 3, 5, 8, 40]))] for i in range(250)}
+    total = sum(map(len, held.values()))
+    quota = sharding._quota(total, 4)
+    placed, cuts, cut = placed_by(spark, held, quota)
+    assert set(placed) == set(held)
+    room, left = list(quota), []
+    for hub, (targets, level) in placed.items():
+        ((end, shard),) = targets
+        assert end == len(held[hub])
+        if level == sharding.WHOLE:
+            room[shard] -= end
+        else:
+            left.append(hub)
+            assert held[hub].count(shard) == end - cut[hub]
+    # full, but not beyond; what is left fits nowhere, and so is less than a hub a shard
+    assert min(room) >= 0 and len(left) < 4
+    assert all(len(held[hub]) > max(room) for hub in left)
+    assert cuts[-1] == sum(cut[hub] for hub in left)
+    # it took more than one round of requests
+    assert len(cuts) > 2
+
+
+def test_hubs_larger_than_a_shard_take_whole_shards(spark):
+    held = {"a": [0] * 260, "b": [1] * 110, **{f"h{i}": [i % 4, i % 3] for i in range(15)}}
+    placed, _, _ = placed_by(spark, held, [100] * 4)
+    targets, level = placed["a"]
+    assert level == sharding.SPLIT and [end for end, _ in targets] == [100, 200, 260]
+    assert placed["b"][1] == sharding.SPLIT and placed["b"][0][0][0] == 100
+    assert all(placed[f"h{i}"][1] == sharding.WHOLE for i in range(15))
