@@ -1,29 +1,37 @@
-"""Nearest neighbours by multi-index hashing: binary codes cut into substrings, each indexed.
-
-A rotation learned from a bounded sample turns vectors into codes whose bits
-follow the data's main directions. Two codes within ``r`` bits agree within
-``r // m`` bits in one of ``m`` substrings, so probing each substring's index
-that far retrieves every code within the radius; those are ranked by the vectors.
+"""Nearest neighbours by multi-index hashing: binary codes cut into substrings, each indexed by its values.
+
+Rotations learned from a bounded sample turn vectors into codes whose bits follow
+the data's main directions. If two codes differ in ``r`` bits and the substrings
+have reaches that sum up to more than ``r`` less their number, one substring at
+least is within its reach; so a join of the rows' substring values with those
+that queries probe retrieves every code within the radius. The vectors of the
+few that may be among the nearest are fetched and ranked.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_BITS = 64
-SUBSTRING_BITS = 16
-# Rows that the rotation and radius are learned from, at most about so many, and queries tried on them.
+from tableferry.sources.scratch import stored
+
+BITS, SUBSTRING_BITS = 256, 16
+PARTS = BITS // SUBSTRING_BITS
+# Rows that codes and radii are learned from, at most about so many, and queries tried on them.
 FIT_ROWS, FIT_QUERIES = 10_000, 256
 FIT_RECALL = 0.97
-# The part of these queries, those with the farthest neighbours, that has to reach the recall by itself.
-HARD_PART = 0.1
-# Rows of a block of the index and of a set of queries that one task holds together.
+# The part of these queries, those with the farthest neighbours, that has to reach a recall by itself.
+HARD_PART, HARD_RECALL = 0.1, 0.9
+# Rows of the index and queries that one task compares at a time.
 BLOCK_ROWS, QUERY_ROWS = 8_192, 4_096
+CODED = "vec_id long, code binary, sketch binary, scale double, rest double, keys array<int>"
+ASKING = "query_id long, code binary, vec array<double>, radius int, keys array<int>"
 
 
 def _lift(rows: np.ndarray, longest: float) -> np.ndarray:
@@ -53,108 +61,205 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 @dataclass
 class Codes:
-    """A learned rotation to binary codes, and the radius that held the sample's neighbours."""
+    """Learned rotations to binary codes, and what tells the radius of a query."""
 
     mean: np.ndarray
     rotation: np.ndarray
     longest: float
-    radius: int
+    sample_ids: np.ndarray
+    sample: np.ndarray
+    near: int
+    margin: int
 
-    @property
-    def bits(self) -> int:
-        return self.rotation.shape[1]
+    def of(self, lifted: np.ndarray) -> np.ndarray:
+        """Codes as rows of four 64-bit words, the same as 16 substrings in turn."""
+        return np.packbits((lifted - self.mean) @ self.rotation > 0, axis=1, bitorder="little").view("<u8")
 
-    @property
-    def parts(self) -> list[tuple[int, int]]:
-        """First bit and width of each substring."""
-        count = -(-self.bits // SUBSTRING_BITS) if self.bits > 4 else 1
-        cuts = [self.bits * i // count for i in range(count + 1)]
-        return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+    def radius(self, query_id: object, code: np.ndarray) -> int:
+        """The distance of the nearest codes of the sample, and the margin that holds the nearest vectors.
 
-    def of(self, lifted: np.ndarray) -> np.ndarray:
-        signs = (lifted - self.mean) @ self.rotation > 0
-        padded = np.zeros((len(signs), MOST_BITS), dtype=bool)
-        padded[:, : self.bits] = signs
-        return np.packbits(padded, axis=1, bitorder="little").view("<u8").ravel()
+        The sample is part of the table, so at least as many codes are within it.
+        """
+        apart = distances(self.sample, code)[self.sample_ids != query_id]
+        if not self.near or len(apart) < self.near:
+            return BITS
+        return int(min(BITS, np.partition(apart, self.near - 1)[self.near - 1] + self.margin))
 
 
-def fit(sample: np.ndarray, longest: float, k: int, rounds: int = 30, recall: float = FIT_RECALL) -> Codes:
-    """Principal directions, then the rotation under which signs lose least; the radius from exact neighbours.
+def distances(coded: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Bits in which codes differ from one."""
+    return np.bitwise_count(coded ^ code).sum(axis=1, dtype=np.int64)
 
-    The queries tried are spread over the whole sample, whatever its order. The
-    radius holds the recall for the hardest of them too, so rows far from all
-    others are found where most rows have close copies. The neighbours within a
-    sample are farther than those within the whole table, so the radius errs to
-    the safe side.
+
+def fit(
+    sample: np.ndarray, longest: float, k: int, rounds: int = 20, recall: float = FIT_RECALL, ids: np.ndarray | None = None
+) -> Codes:
+    """Rotations of the principal directions under which signs lose least; the margin from exact neighbours.
+
+    Vectors have fewer dimensions than codes have bits, so several rotations are
+    learned, each from a start of its own. The queries tried are spread over the
+    whole sample, whatever its order. The margin holds the recall over all of
+    them, and a lower one for the hardest alone; beside a query's nearest codes it
+    gives rows with close copies a small radius, and those far from all others a
+    large one. Neighbours within a sample are farther than within the table, so the radius
+    errs to the safe side.
     """
+    ids = np.arange(len(sample)) if ids is None else ids
     lifted = _lift(sample, longest)
     mean = lifted.mean(axis=0)
     centred = lifted - mean
     _, _, directions = np.linalg.svd(centred.T @ centred)
-    main = directions[: min(MOST_BITS, lifted.shape[1])].T
+    main = directions[: min(64, lifted.shape[1])].T
     flat = centred @ main
-    rotation = np.linalg.qr(np.random.default_rng(0).standard_normal((main.shape[1], main.shape[1])))[0]
-    for _ in range(rounds):
-        left, _, right = np.linalg.svd(np.where(flat @ rotation > 0, 1.0, -1.0).T @ flat)
-        rotation = (left @ right).T
-    codes = Codes(mean, main @ rotation, longest, main.shape[1])
+    turns = []
+    for seed in range(-(-BITS // main.shape[1])):
+        rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((main.shape[1], main.shape[1])))[0]
+        for _ in range(rounds):
+            left, _, right = np.linalg.svd(np.where(flat @ rotation > 0, 1.0, -1.0).T @ flat)
+            rotation = (left @ right).T
+        turns.append(main @ rotation)
+    near = min(k, len(sample) - 1)
+    codes = Codes(mean, np.hstack(turns)[:, :BITS], longest, ids, np.empty((0, BITS // 64), "<u8"), near, 0)
+    codes.sample = codes.of(lifted)
+    if not near:
+        return codes
     tried = np.random.default_rng(1).choice(len(sample), min(FIT_QUERIES, len(sample)), replace=False)
-    queries = sample[tried]
-    coded, aimed = codes.of(lifted), codes.of(_aim(queries, longest))
-    apart = []
-    for i, query in enumerate(queries):
-        scores = products(sample, query)
-        scores[tried[i]] = -np.inf
-        near = best(scores, np.arange(len(scores)), min(k, max(1, len(sample) - 1)))
-        apart.append(np.bitwise_count(coded[near] ^ aimed[i]))
-    hardest = sorted(apart, key=np.mean)[-max(1, round(HARD_PART * len(apart))) :]
-    codes.radius = int(np.ceil(np.quantile(np.concatenate(hardest), recall)))
+    beyond = []
+    for i, code in zip(tried, codes.of(_aim(sample[tried], longest))):
+        scores, apart = products(sample, sample[i]), distances(codes.sample, code)
+        scores[i], apart[i] = -np.inf, BITS
+        nearest = best(scores, np.arange(len(scores)), near)
+        beyond.append(apart[nearest] - np.partition(apart, near - 1)[near - 1])
+    hardest = sorted(beyond, key=np.mean)[-max(1, round(HARD_PART * len(beyond))) :]
+    margin = max(np.quantile(np.concatenate(beyond), recall), np.quantile(np.concatenate(hardest), HARD_RECALL))
+    codes.margin = max(0, ceil(margin))
     return codes
 
 
-class Block:
-    """The substring indexes of some rows."""
-
-    def __init__(self, codes: Codes, ids: np.ndarray, rows: np.ndarray):
-        self.codes, self.ids, self.rows = codes, ids, rows
-        self.coded = codes.of(_lift(rows, codes.longest))
-        self.tables = []
-        for first, width in codes.parts:
-            part = (self.coded >> np.uint64(first)) & np.uint64((1 << width) - 1)
-            order = np.argsort(part, kind="stable")
-            values, starts = np.unique(part[order], return_index=True)
-            self.tables.append((np.uint64(first), np.uint64((1 << width) - 1), values, np.r_[starts, len(order)], order))
-
-    def within(self, code: np.uint64, radius: int) -> np.ndarray:
-        """Places of all rows whose code is within the radius."""
-        marked = np.zeros(len(self.ids), dtype=bool)
-        reach = radius // len(self.tables)
-        for first, mask, values, starts, order in self.tables:
-            # the values within reach that occur: of a 16-bit substring there are 65,536 at most
-            hit = np.flatnonzero(np.bitwise_count(values ^ ((code >> first) & mask)) <= reach)
-            sizes = starts[hit + 1] - starts[hit]
-            ends = np.cumsum(sizes)
-            if len(ends):
-                marked[order[np.repeat(starts[hit] - (ends - sizes), sizes) + np.arange(ends[-1])]] = True
-        found = np.flatnonzero(marked)
-        return found[np.bitwise_count(self.coded[found] ^ code) <= radius]
-
-    def search(self, query_id: int, query: np.ndarray, code: np.uint64, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the nearest rows found; the radius grows until there are k, or all rows are in."""
-        radius = self.codes.radius
-        while True:
-            found = self.within(code, radius)
-            found = found[self.ids[found] != query_id]
-            if len(found) >= k or radius >= self.codes.bits:
-                break
-            radius = min(self.codes.bits, radius + len(self.tables))
-        scores = products(self.rows[found], query)
-        top = best(scores, self.ids[found], k)
-        return self.ids[found][top], scores[top]
-
-
-def _numbers(count: int) -> Column:
-    return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
+def reaches(radius: int, depth: int) -> np.ndarray:
+    """How many bits each substring may differ in, -1 for none, so that no code within the radius is missed.
+
+    The index is cut by the first ``depth`` bits of each substring. Equal reaches
+    are taken where they meet fewer of its cuts than one substring has; else
+    one substring is searched whole, which finds every code.
+    """
+    reach = (radius + 1) // PARTS - 1 + (np.arange(PARTS) < (radius + 1) % PARTS)
+    reach = np.minimum(reach, SUBSTRING_BITS)
+    near = np.bitwise_count(np.arange(1 << depth))
+    if sum((near <= t).sum() for t in reach) < 1 << depth:
+        return reach
+    return np.where(np.arange(PARTS) == 0, SUBSTRING_BITS, -1)
+
+
+def _keys(substrings: np.ndarray, depth: int) -> np.ndarray:
+    """The cut of the index each substring belongs to: its number and its first bits."""
+    first = substrings.astype(np.int32) >> (SUBSTRING_BITS - depth)
+    return (np.arange(PARTS, dtype=np.int32) << SUBSTRING_BITS) + first
+
+
+def indexed(rows: DataFrame, codes: Codes, depth: int) -> DataFrame:
+    """Code, coarse vector and cuts of each row of ``vec_id, vec``.
+
+    The coarse vector has a byte a component; ``rest`` is the length of what it leaves out.
+    """
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            vecs = np.stack(batch["vec"].to_list())
+            coded = codes.of(_lift(vecs, codes.longest))
+            scale = np.maximum(np.abs(vecs).max(axis=1) / 127, np.finfo(float).tiny)
+            coarse = np.rint(vecs / scale[:, None]).astype(np.int8)
+            rest = np.sqrt(((vecs - coarse * scale[:, None]) ** 2).sum(axis=1))
+            yield pd.DataFrame({
+                "vec_id": batch["vec_id"], "code": [c.tobytes() for c in coded], "sketch": [c.tobytes() for c in coarse],
+                "scale": scale, "rest": rest, "keys": list(_keys(coded.view("<u2"), depth)),
+            })
+
+    return rows.select("vec_id", "vec").mapInPandas(build, CODED)
+
+
+def probing(queries: DataFrame, codes: Codes, depth: int) -> DataFrame:
+    """Code, radius and the cuts of the index to search for each row of ``vec_id, vec``."""
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cuts = np.arange(1 << depth, dtype=np.int32)
+        for batch in batches:
+            if not len(batch):
+                continue
+            vecs = np.stack(batch["vec"].to_list())
+            coded = codes.of(_aim(vecs, codes.longest))
+            radii = [codes.radius(i, c) for i, c in zip(batch["vec_id"], coded)]
+            keys = []
+            for radius, own in zip(radii, _keys(coded.view("<u2"), depth)):
+                within = [own[i] ^ cuts[np.bitwise_count(cuts) <= t] for i, t in enumerate(reaches(radius, depth))]
+                keys.append(np.concatenate(within))
+            yield pd.DataFrame({
+                "query_id": batch["vec_id"], "code": [c.tobytes() for c in coded], "vec": list(vecs), "radius": radii, "keys": keys,
+            })
+
+    return queries.select("vec_id", "vec").mapInPandas(build, ASKING)
+
+
+def _words(column: pd.Series, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
+
+def _numbers(count: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), count - 1)
+
+
+def retrieve(index: DataFrame, probes: DataFrame, depth: int, k: int | None) -> DataFrame:
+    """``query_id, vec_id`` of codes within the queries' radius, found by a join on the cuts of the index.
+
+    A pair may be found in several cuts and comes once. With ``k``, of a cut's
+    rows only those come that can be among the query's ``k`` nearest, as told by the coarse
+    vectors and the most they can be wrong; none of the nearest is lost. Cuts with many rows
+    or queries are dealt out, so no task compares more than a block and a set.
+    """
+    held = index.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n_rows"))
+    asked = probes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n_asked"))
+    sizes = held.join(asked, "key").select(
+        "key",
+        F.ceil(F.col("n_rows") / BLOCK_ROWS).alias("blocks"),
+        F.ceil(F.col("n_asked") / QUERY_ROWS).alias("sets"),
+    )
+    # stored, so that joins with it have two fresh exchanges and common cuts can be split
+    sizes, _ = stored(sizes, "cuts")
+    left = index.withColumn("key", F.explode("keys")).drop("keys").join(sizes, "key")
+    left = left.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.col("blocks")))
+    left = left.withColumn("set", F.explode(_numbers(F.col("sets")))).drop("blocks", "sets")
+    right = probes.withColumn("key", F.explode("keys")).drop("keys").join(sizes, "key")
+    right = right.withColumn("set", F.pmod(F.xxhash64(F.lit("set"), "query_id"), F.col("sets")))
+    right = right.withColumn("block", F.explode(_numbers(F.col("blocks")))).drop("blocks", "sets")
+
+    def meet(rows: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(asking):
+            return pd.DataFrame({"query_id": [], "vec_id": []})
+        part = int(rows["key"].iloc[0]) >> SUBSTRING_BITS
+        ids, coded, coarse = rows["vec_id"].to_numpy(), _words(rows["code"], "<u8"), _words(rows["sketch"], np.int8)
+        scale, rest = rows["scale"].to_numpy(), rows["rest"].to_numpy()
+        own = np.ascontiguousarray(coded.view("<u2")[:, part])
+        pairs = []
+        for one in asking.itertuples():
+            code = np.frombuffer(one.code, "<u8")
+            reach = reaches(one.radius, depth)[part]
+            found = np.arange(len(ids)) if reach >= SUBSTRING_BITS else (
+                np.flatnonzero(np.bitwise_count(own ^ code.view("<u2")[part]) <= reach)
+            )
+            found = found[(distances(coded[found], code) <= one.radius) & (ids[found] != one.query_id)]
+            if k is not None and len(found) > k:
+                length = np.sqrt((one.vec**2).sum())
+                score = (coarse[found] * one.vec).sum(axis=1) * scale[found]
+                # what the byte leaves out, and rounding
+                wrong = length * (rest[found] + 1e-9 * scale[found] * 127 * len(one.vec))
+                found = found[score + wrong >= np.partition(score - wrong, -k)[-k]]
+            pairs.append(pd.DataFrame({"query_id": one.query_id, "vec_id": ids[found]}))
+        return pd.concat(pairs)
+
+    met = left.groupBy("key", "block", "set").cogroup(right.groupBy("key", "block", "set"))
+    return met.applyInPandas(meet, "query_id long, vec_id long").distinct()
 
 
 def _usable(vec: Column) -> Column:
@@ -178,51 +283,36 @@ def search(
     part, nor do rows without an id or with another length than most rows have.
     Of rows with one id the smallest vector counts. Other columns are ignored.
 
-    The sample, about ``fit_rows`` rows, decides codes and radius; every row is
-    indexed. Queries in sets and rows in blocks of bounded size meet in a group
-    per set and block, so no task holds more, however alike vectors are.
+    The sample, about ``fit_rows`` rows, decides codes and radii; every row is
+    indexed. Index and queries meet by a join on substring values, without the
+    vectors of rows; those are fetched for the pairs that may be among the nearest.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"), queries.alias("asks"))
     rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("vec")))
     sizes = rows.groupBy(F.size("vec").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("size")).first()
-    out = "query_id long, vec_id long, score double"
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("vec") == sizes["size"])
     rows = rows.groupBy("vec_id").agg(F.min("vec").alias("vec"), F.max(F.coalesce("asks", F.lit(False))).alias("asks"))
+    rows, _ = stored(rows.withColumn("vec_id", F.col("vec_id").cast("long")), "vectors")
     facts = rows.agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("asks").cast("long")).alias("asking"),
-        F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("longest"),
+        F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("longest")
     ).first()
     share = fit_rows / facts["n"]
     drawn = rows.where(F.pmod(F.xxhash64(F.lit("fit"), "vec_id"), F.lit(1 << 30)) < share * (1 << 30)) if share < 1 else rows
     sample = drawn.orderBy("vec_id").toPandas()
-    codes = fit(np.stack(sample["vec"].to_list()), float(np.sqrt(facts["longest"])), k, recall=recall)
-
-    blocks, sets = -(-facts["n"] // BLOCK_ROWS), max(1, -(-(facts["asking"] or 0) // QUERY_ROWS))
-    near = rows.select(
-        F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).alias("block"), "vec_id", "vec",
-        F.explode(_numbers(sets)).alias("set"),
-    )
-    asked = rows.where("asks").select(
-        F.explode(_numbers(blocks)).alias("block"), "vec_id", "vec",
-        F.pmod(F.xxhash64(F.lit("set"), "vec_id"), F.lit(sets)).alias("set"),
-    )
-
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        block = Block(codes, left["vec_id"].to_numpy(), np.stack(left["vec"].to_list()))
-        asking = np.stack(right["vec"].to_list())
-        coded = codes.of(_aim(asking, codes.longest))
-        parts = []
-        for query_id, query, code in zip(right["vec_id"].to_list(), asking, coded):
-            ids, scores = block.search(query_id, query, code, k)
-            parts.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores}))
-        return pd.concat(parts)
-
-    found = near.groupBy("block", "set").cogroup(asked.groupBy("block", "set")).applyInPandas(meet, out)
+    longest = float(np.sqrt(facts["longest"]))
+    codes = fit(np.stack(sample["vec"].to_list()), longest, k, recall=recall, ids=sample["vec_id"].to_numpy())
+
+    # as many cuts as there are blocks, so that a spread substring fills them evenly
+    depth = min(SUBSTRING_BITS, max(0, ceil(log2(facts["n"] / BLOCK_ROWS))))
+    index, _ = stored(indexed(rows, codes, depth), "codes")
+    probes, _ = stored(probing(rows.where("asks"), codes, depth), "probes")
+    pairs, _ = stored(retrieve(index, probes, depth, k), "pairs")
+    near = pairs.join(rows.select("vec_id", F.col("vec").alias("there")), "vec_id")
+    near = near.join(rows.where("asks").select(F.col("vec_id").alias("query_id"), "vec"), "query_id")
+    product = F.aggregate(F.zip_with("vec", "there", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    found = near.select("query_id", "vec_id", product.alias("score"))
     order = "row_number() over (partition by query_id order by score desc, vec_id)"
     return found.withColumn("rank", F.expr(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

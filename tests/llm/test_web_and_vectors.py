@@ -154,15 +154,63 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
     assert hits / 1000 >= 0.9
 
 
-def test_every_code_within_the_radius_is_found():
+def table_of(spark, rows):
+    return spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, vec array<double>")
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.2, 1.0])
+def test_every_code_within_the_radius_is_found(spark, monkeypatch, spread):
+    monkeypatch.setattr(hash_index, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(hash_index, "QUERY_ROWS", 20)
     rng = np.random.default_rng(3)
-    rows = rng.standard_normal((700, 40))
+    rows = np.repeat(rng.standard_normal((60, 40)), 20, axis=0) + spread * rng.standard_normal((1200, 40))
+    rows[200:600] = rows[200]  # a third of the rows, all in one cut of each substring
     codes = hash_index.fit(rows, float(np.sqrt((rows**2).sum(axis=1).max())), 5)
-    block = hash_index.Block(codes, np.arange(700), rows)
-    for code in block.coded[:20]:
-        for radius in (0, 3, 9, 17, codes.bits):
-            near = np.flatnonzero(np.bitwise_count(block.coded ^ code) <= radius)
-            assert block.within(code, radius).tolist() == near.tolist()
+    whole = table_of(spark, rows)
+    index, probes = hash_index.indexed(whole, codes, 6), hash_index.probing(whole.where("vec_id % 30 = 1"), codes, 6)
+    coded = codes.of(hash_index._lift(rows, codes.longest))
+    aimed = codes.of(hash_index._aim(rows, codes.longest))
+    expected = set()
+    for q in range(1, 1200, 30):
+        near = np.flatnonzero(hash_index.distances(coded, aimed[q]) <= codes.radius(q, aimed[q]))
+        assert len(near) > 5
+        expected |= {(q, int(i)) for i in near if i != q}
+    got = [tuple(r) for r in hash_index.retrieve(index, probes, 6, None).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    # the coarse vectors lose none of the nearest
+    few = {tuple(r) for r in hash_index.retrieve(index, probes, 6, 5).collect()}
+    assert few <= expected
+    for q in range(1, 1200, 30):
+        mine = np.array(sorted(i for a, i in expected if a == q))
+        top = mine[hash_index.best(hash_index.products(rows[mine], rows[q]), mine, 5)]
+        worst = hash_index.products(rows[top], rows[q]).min()
+        clear = {(q, int(i)) for i in top if hash_index.products(rows[[i]], rows[q])[0] > worst + 1e-9}
+        assert clear <= few
+
+
+@pytest.mark.parametrize("radius", [0, 3, 15, 16, 40, 100, 256])
+@pytest.mark.parametrize("depth", [0, 5, 16])
+def test_reaches_miss_no_code(radius, depth):
+    reach = hash_index.reaches(radius, depth)
+    # whatever way the differing bits are dealt out, one substring is within its reach
+    assert (reach + 1).sum() > radius or reach.max() == hash_index.SUBSTRING_BITS
+    if depth == 16 and radius < 40:
+        assert reach.max() <= 2
+
+
+def test_near_copies_meet_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(hash_index, "BLOCK_ROWS", 4)
+    rng = np.random.default_rng(4)
+    rows = np.repeat(rng.standard_normal((200, 32)), 30, axis=0) + 0.002 * rng.standard_normal((6000, 32))
+    rows /= np.sqrt((rows**2).sum(axis=1, keepdims=True))
+    codes = hash_index.fit(rows, float(np.sqrt((rows**2).sum(axis=1).max())), 10)
+    probes = hash_index.probing(table_of(spark, rows).where("vec_id % 60 = 0"), codes, 11)
+    assert all(r["radius"] < 48 for r in probes.collect())
+    keys = hash_index.indexed(table_of(spark, rows), codes, 11).select(F.explode("keys").alias("key"))
+    met = keys.join(probes.select("query_id", F.explode("keys").alias("key")), "key").count()
+    assert met < 0.2 * 100 * 6000
+    index = hash_index.indexed(table_of(spark, rows), codes, 11)
+    assert hash_index.retrieve(index, probes, 11, None).count() < 0.02 * 100 * 6000
 
 
 @pytest.mark.parametrize("tight", [0.5, 0.9])
@@ -173,13 +221,14 @@ def test_neighbours_where_ids_follow_the_source(tight):
     rows = np.repeat(rng.standard_normal((copies // 100, 32)), 100, axis=0)
     rows = np.r_[rows + 0.01 * rng.standard_normal(rows.shape), rng.standard_normal((n - copies, 32))]
     codes = hash_index.fit(rows, float(np.sqrt((rows**2).sum(axis=1).max())), k)
-    block = hash_index.Block(codes, np.arange(n), rows)
+    coded = codes.of(hash_index._lift(rows, codes.longest))
     for part in (range(0, copies, copies // 50), range(copies, n, (n - copies) // 50)):
         hits = 0
         for q, code in zip(part, codes.of(hash_index._aim(rows[part], codes.longest))):
             scores = hash_index.products(rows, rows[q])
             scores[q] = -np.inf
-            hits += len(set(hash_index.best(scores, np.arange(n), k)) & set(block.search(q, rows[q], code, k)[0]))
+            within = hash_index.distances(coded, code) <= codes.radius(q, code)
+            hits += within[hash_index.best(scores, np.arange(n), k)].sum()
         assert hits / (k * len(part)) >= 0.9
 
 
