@@ -313,6 +313,7 @@ def search(
     near = pairs.join(rows.select("vec_id", F.col("vec").alias("there")), "vec_id")
     near = near.join(rows.where("asks").select(F.col("vec_id").alias("query_id"), "vec"), "query_id")
     product = F.aggregate(F.zip_with("vec", "there", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    found = near.select("query_id", "vec_id", product.alias("score"))
+    # stored, so that the join's partitions are not those of the ranking and one query's many pairs can be split
+    found, _ = stored(near.select("query_id", "vec_id", product.alias("score")), "scored")
     order = "row_number() over (partition by query_id order by score desc, vec_id)"
     return found.withColumn("rank", F.expr(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
