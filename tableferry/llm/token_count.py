@@ -44,7 +44,9 @@ class PieceCounter:
         if any(b == SPACE and a != SPACE for a, b in inner) or any("\n" in pair for pair in inner):
             raise ValueError("pieces cross spaces or lines")
         self.line_feed = 1
+        # counts of words met lately, and of those met before these
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def merge(self, word: str) -> int:
         """Initial symbols less merges, where a character that is no piece counts its bytes."""
@@ -99,11 +101,13 @@ class PieceCounter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        known, words = self.known, self._words(text)
+        if len(self.known) > WORDS_KEPT // 2:
+            # words that come again move on to the new store, the others go with the old one
+            self.known, self.older = {}, self.known
+        known, older, words = self.known, self.older, self._words(text)
         for word in set(words).difference(known):
-            known[word] = self.merge(word)
+            count = older.get(word)
+            known[word] = self.merge(word) if count is None else count
         return text.count("\n") * self.line_feed + sum(map(known.__getitem__, words))
 
 

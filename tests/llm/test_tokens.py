@@ -67,6 +67,19 @@ def test_counts_match_the_library(docs_of):
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(model.encode(t or "")) for i, t in enumerate(texts)}
 
 
+def test_frequent_words_outlive_rare_ones(monkeypatch):
+    monkeypatch.setattr(token_count, "WORDS_KEPT", 40)
+    counter, model = token_count.PieceCounter(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    merged, merge = [], counter.merge
+    monkeypatch.setattr(counter, "merge", lambda word: merged.append(word) or merge(word))
+    for i in range(300):
+        text = f"the common words and rare{i} other{i * 7}"
+        assert counter.count(text) == len(model.encode(text))
+        assert len(counter.known) + len(counter.older) <= 40 + 2 * len(text.split())
+    often = [w for w in merged if "rare" not in w and "other" not in w]
+    assert len(often) == len(set(often)) and len(merged) > 600
+
+
 def test_empty_tables(docs_of):
     assert bpe.with_ids(docs_of([]), "text", "ids", VOCABULARY, P.PATTERN).count() == 0
     assert token_count.with_token_count(docs_of([]), "text", "n", PIECES).agg(F.sum("n")).first()[0] is None
