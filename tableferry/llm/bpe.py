@@ -1,8 +1,9 @@
-"""Byte-level BPE: encode by replaying the merges over a slice's distinct words, decode by lookup.
+"""Byte-level BPE: encode by replaying the merges over the distinct words of many texts, decode by lookup.
 
-A task collects the distinct words of a slice of its rows, indexes every
-adjacent token pair by the token it would merge into, and applies the merges in
-rank order to all words at once, touching only the neighbours of what merged.
+A task collects the words of its rows it has not met, some megabytes of text at
+a time, indexes every adjacent token pair by the token it would merge into, and
+applies the merges in rank order to all these words at once, touching only the
+neighbours of what merged. Words keep their ids for the texts that follow.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ from tableferry.llm.slices import text_slices
 
 NONE = np.int32(2**31 - 1)
 # Words whose ids a worker keeps.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 400_000
+# Bytes of text whose new words share one replay: a replay steps through the ranks, however few its words.
+REPLAY_BYTES = 8 << 20
 
 
 def _sorted_once(values: np.ndarray) -> np.ndarray:
@@ -183,47 +186,69 @@ def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 class Encoder:
-    """Encodes texts; keeps the ids of words it has met, up to a bound."""
+    """Encodes texts; keeps the ids of words it has met, up to a bound.
+
+    Once half the bound is known, what is known becomes the older store: words
+    that come again move on to the new one, the others go with the next change.
+    """
 
     def __init__(self, table: MergeTable, pattern: str):
         self.table, self.split = table, Splitter(pattern)
-        self._forget()
+        self._turn()
+        self._turn()
 
-    def _forget(self) -> None:
+    def _turn(self) -> None:
+        """Make the words known the older store and begin a new one."""
+        if hasattr(self, "numbers"):
+            self.older, self.older_ids, self.older_sizes = self.numbers, self.ids, self.sizes
         self.numbers = _Numbers()
         self.ids = np.empty(0, dtype=np.int32)
         self.sizes = np.empty(0, dtype=np.int64)
 
     def _learn(self) -> None:
-        new = [w.encode() for w in self.numbers.new]
-        self.numbers.new.clear()
-        if not new:
+        """Find the ids of the words new in this store: in the older one, or by replaying the merges."""
+        words = self.numbers.new
+        if not words:
             return
+        new = [w.encode() for w in words]
+        at = np.fromiter((self.older.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        words.clear()
+        known = np.flatnonzero(at >= 0)
         # a word that is a token itself needs no merge
         whole = np.array([self.table.ranks.get(w, -1) for w in new], dtype=np.int32)
+        whole[known] = -1
+        single = whole >= 0
         sizes = np.ones(len(new), dtype=np.int64)
-        merged = np.flatnonzero(whole < 0)
+        sizes[known] = self.older_sizes[at[known]]
+        merged = np.flatnonzero(~single & (at < 0))
         if len(merged):
             ids, sizes[merged] = self.table.replay([new[i] for i in merged.tolist()])
         flat = np.empty(int(sizes.sum()), dtype=np.int32)
-        is_whole = np.repeat(whole >= 0, sizes)
-        flat[is_whole] = whole[whole >= 0]
+        kind = np.repeat(np.where(at >= 0, 0, np.where(single, 1, 2)), sizes)
+        ends = np.cumsum(self.older_sizes)[at[known]]
+        flat[kind == 0] = gather(self.older_ids, ends - sizes[known], sizes[known])
+        flat[kind == 1] = whole[single]
         if len(merged):
-            flat[~is_whole] = ids
+            flat[kind == 2] = ids
         self.ids, self.sizes = np.concatenate([self.ids, flat]), np.concatenate([self.sizes, sizes])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The token ids of all texts in a row, and how many each text has."""
-        if len(self.numbers) > WORDS_KEPT:
-            self._forget()
+    def encode_lists(self, lists: Iterable[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each list of texts the ids of all in a row, and how many each has; one replay serves all lists."""
+        if len(self.numbers) > WORDS_KEPT // 2:
+            self._turn()
         number = self.numbers.__getitem__
-        words = [np.fromiter(map(number, self.split(t)), dtype=np.int32) for t in texts]
+        numbered = [[np.fromiter(map(number, self.split(t)), dtype=np.int32) for t in texts] for texts in lists]
         self._learn()
         ends = np.cumsum(self.sizes)
-        counts = [int(self.sizes[w].sum()) for w in words]
-        every = np.concatenate(words) if words else np.empty(0, dtype=np.int32)
-        sizes = self.sizes[every]
-        return gather(self.ids, ends[every] - sizes, sizes), np.array(counts, dtype=np.int64)
+        for words in numbered:
+            counts = [int(self.sizes[w].sum()) for w in words]
+            every = np.concatenate(words) if words else np.empty(0, dtype=np.int32)
+            sizes = self.sizes[every]
+            yield gather(self.ids, ends[every] - sizes, sizes), np.array(counts, dtype=np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The token ids of all texts in a row, and how many each text has."""
+        return next(self.encode_lists([texts]))
 
 
 def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
@@ -267,13 +292,14 @@ def with_ids(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(local_file(vocabulary), pattern)
-        for rows in text_slices(batches, text_at):
-            ids, counts = encoder.encode([t or "" for t in rows.column(text_at).to_pylist()])
-            cuts = np.r_[0, np.cumsum(counts)]
-            columns = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))]
-            if bytes_col:
-                columns.append(_byte_column(encoder.table, ids, cuts))
-            yield pa.RecordBatch.from_arrays([*rows.columns, *columns], [*others, *added])
+        for slices in _replay_groups(text_slices(batches, text_at), text_at):
+            texts = ([t or "" for t in rows.column(text_at).to_pylist()] for rows in slices)
+            for rows, (ids, counts) in zip(slices, encoder.encode_lists(texts)):
+                cuts = np.r_[0, np.cumsum(counts)]
+                columns = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))]
+                if bytes_col:
+                    columns.append(_byte_column(encoder.table, ids, cuts))
+                yield pa.RecordBatch.from_arrays([*rows.columns, *columns], [*others, *added])
 
     fields = [docs.schema[c] for c in others] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     if bytes_col:
@@ -281,6 +307,20 @@ def with_ids(
     return docs.select(*[F.col(f"`{c}`") for c in others]).mapInArrow(run, T.StructType(fields))
 
 
+def _replay_groups(slices: Iterable[pa.RecordBatch], text_at: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices in order, in lists of about ``REPLAY_BYTES`` of text."""
+    group: list[pa.RecordBatch] = []
+    held = 0
+    for rows in slices:
+        group.append(rows)
+        held += pc.sum(pc.binary_length(rows.column(text_at))).as_py() or 0
+        if held >= REPLAY_BYTES:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def _byte_column(table: MergeTable, ids: np.ndarray, cuts: np.ndarray, valid: list[bool] | None = None) -> pa.Array:
     """The decoded bytes of each run of ids between two cuts."""
     data, ends = table.decode(ids)

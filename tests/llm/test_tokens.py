@@ -54,6 +54,32 @@ def test_words_are_forgotten_and_learned_again(library, monkeypatch):
         assert encoder.encode([text])[0].tolist() == library.encode_ordinary(text)
 
 
+def test_frequent_words_are_replayed_once(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 60)
+    encoder, replayed = bpe.Encoder(bpe._table(VOCABULARY), P.PATTERN), []
+    replay = encoder.table.replay
+    monkeypatch.setattr(encoder.table, "replay", lambda words: replayed.extend(words) or replay(words))
+    for i in range(200):
+        texts = [f"zqxcommonly jxqvoften xrare{i}qz", f"zqxcommonly yother{i * 7}qj"]
+        (first, _), (second, _) = encoder.encode_lists([texts[:1], texts[1:]])
+        assert first.tolist() == library.encode_ordinary(texts[0])
+        assert second.tolist() == library.encode_ordinary(texts[1])
+        assert len(encoder.numbers) + len(encoder.older) <= 60 + 20
+    assert [replayed.count(w) for w in (b"zqxcommonly", b" jxqvoften", b"qz", b"qj")] == [1, 1, 1, 1]
+    assert len(replayed) > 200
+
+
+def test_texts_share_a_replay_across_slices(docs_of, library, monkeypatch):
+    monkeypatch.setattr(bpe, "REPLAY_BYTES", 100)
+    texts = ODD + mixed(5, 300) + [None] * 5
+    slices = [bpe.pa.RecordBatch.from_pydict({"t": bpe.pa.array(texts[i : i + 7], bpe.pa.string())}) for i in range(0, len(texts), 7)]
+    groups = list(bpe._replay_groups(slices, 0))
+    assert [t for g in groups for rows in g for t in rows.column(0).to_pylist()] == texts
+    assert max(map(len, groups)) > 1 and len(groups) > 1
+    rows = bpe.with_ids(docs_of(list(enumerate(texts))), "text", "ids", VOCABULARY, P.PATTERN).collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == {i: library.encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
 def test_null_ids_decode_to_null(spark):
     rows = spark.createDataFrame([(1, [72, 105]), (2, None), (3, [])], "k int, ids array<int>")
     got = {r["k"]: r["b"] for r in bpe.with_bytes(rows, "ids", "b", VOCABULARY).collect()}
