@@ -70,7 +70,7 @@ def test_frequent_words_are_replayed_once(library, monkeypatch):
 
 
 def test_texts_share_a_replay_across_slices(docs_of, library, monkeypatch):
-    monkeypatch.setattr(bpe, "REPLAY_BYTES", 100)
+    monkeypatch.setattr(bpe, "REPLAY_BYTES", 2000)
     texts = ODD + mixed(5, 300) + [None] * 5
     slices = [bpe.pa.RecordBatch.from_pydict({"t": bpe.pa.array(texts[i : i + 7], bpe.pa.string())}) for i in range(0, len(texts), 7)]
     groups = list(bpe._replay_groups(slices, 0))
