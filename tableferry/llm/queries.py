@@ -23,6 +23,7 @@ from tableferry.llm import (
     url_rules,
     warc_zip,
 )
+from tableferry.llm.slices import short_batches
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -145,6 +146,7 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = toxicity.predict_toxicity(docs, _table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")

@@ -6,8 +6,17 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 2 << 20
+BATCH_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Bound the rows that go to a Python worker at a time, unless the launcher has."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], text_at: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

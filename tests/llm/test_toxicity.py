@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tableferry.llm import toxicity
+from tableferry.llm import langid, toxicity
 from tableferry.llm.queries import QUERIES
 
 INSULTS = ["blorb", "grunkle", "zwit"]
@@ -75,6 +75,57 @@ def test_one_class_or_none_or_no_rows(spark, docs_of):
     assert {r["score"] for r in toxicity.predict_toxicity(docs, nulls).collect()} == {0.0}
 
 
+def test_every_labelled_row_is_learned(spark, docs_of):
+    n = 5000
+    toxic = {i: int(i % 4 == 0) for i in range(n)}
+    docs = docs_of([(i, f"own{i}x {'blorb' if y else 'house'}") for i, y in toxic.items()])
+    net = toxicity.learn(docs, labels_of(spark, toxic), langid.Profiles({}, 400), least=1, epochs=1).network
+    # each row has a word of its own; a fifth is set aside, and few words share a bucket
+    assert net.place.max() >= 0.95 * 0.8 * sum(not held(i) for i in toxic)
+
+
+def test_long_texts_are_learned(spark, docs_of):
+    toxic = {i: i % 2 for i in range(120)}
+    rows = [(i, "the house " * 2500 + (INSULTS[i % 3] if y else "") + " by the sea" * 50) for i, y in toxic.items()]
+    found = toxicity.predict_toxicity(docs_of(rows + [(900, "you zwit"), (901, "the sea")]), labels_of(spark, toxic))
+    got = {r["doc_id"]: r["predicted"] for r in found.collect()}
+    assert all(got[i] == y for i, y in toxic.items()) and (got[900], got[901]) == (1, 0)
+
+
+def test_parts_train_one_network_whatever_the_session(spark, docs_of, prose, conf):
+    rows, toxic = corpus(prose)
+    rows += [(9_000, None)]
+    found = []
+    for partitions, part_rows in ((3, 100), (8, 100), (3, 10_000), (8, 10_000)):
+        conf({"spark.sql.shuffle.partitions": partitions})
+        docs = docs_of(rows).repartition(partitions)
+        made = toxicity.predict_toxicity(docs, labels_of(spark, toxic), part_rows=part_rows)
+        found.append({r["doc_id"]: (r["score"], r["predicted"]) for r in made.collect()})
+    assert all(found[a][i][0] == pytest.approx(found[a + 1][i][0], abs=1e-6) for a in (0, 2) for i in toxic)
+    unseen = [i for i in toxic if held(i)]
+    for got in found:
+        assert sum(got[i][1] == toxic[i] for i in unseen) >= 0.95 * len(unseen)
+
+
+def test_binned_threshold_is_the_plain_one(spark, prose):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 50, rng.integers(1, 40)) for _ in range(200)]
+    toxic = np.array([7 in t or i % 17 == 0 for i, t in enumerate(texts)])
+    net = toxicity.train(texts, toxic, epochs=2)
+    langs = ["aa" if i % 3 else "bb" for i in range(200)]
+    rows = [(int(y), lang, [int(x) for x in t]) for t, y, lang in zip(texts, toxic, langs)]
+    found, common = toxicity._thresholds(spark.createDataFrame(rows, "toxic int, lang_pred string, ids array<int>"), net)
+    logits = net.logits(np.concatenate(texts), np.array([len(t) for t in texts]), net.answers())
+
+    def f1(mine, cut):
+        said = logits[mine] >= cut
+        return 2 * (said & toxic[mine]).sum() / (said.sum() + toxic[mine].sum())
+
+    for mine, cut in ((np.ones(200, bool), common), *((np.array([x == lang for x in langs]), c) for lang, c in found.items())):
+        assert f1(mine, cut) >= f1(mine, toxicity.threshold(logits[mine], toxic[mine])) - 0.01
+    assert set(found) == {"aa", "bb"}
+
+
 def plain_logit(net, ids):
     """Every window of one text, one filter at a time."""
     vectors = [net.embeddings[net.place[i]] for i in ids] + [np.zeros(net.embeddings.shape[1])] * toxicity.PAD
