@@ -8,7 +8,7 @@ again only for the terms that are reported.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,14 +21,28 @@ from tableferry.sources.scratch import discard, stored
 
 # everything below U+0080 but letters
 NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-# text bytes counted together
-SLICE = 4 << 20
+# text bytes counted together, from as many batches as hold them
+SLICE = 16 << 20
 GROUP = ["lang", "source"]
 # a term is known by its digest and, among terms that share one, by a number
 KEY = ["digest", "split"]
 SCALE = 1_000_000_000
 
 
+def _gathered(batches: Iterable[pa.RecordBatch], text_at: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows in order, cut and joined to about ``limit`` text bytes at a time and one row at least."""
+    held, size = [], 0
+    for part in text_slices(batches, text_at, limit):
+        more = pc.sum(pc.binary_length(part.column(text_at))).as_py() or 0
+        if held and size + more > limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(part)
+        size += more
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences and documents, summed over slices of the rows only."""
 
@@ -36,7 +50,7 @@ def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str)
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, 2, SLICE):
+        for batch in _gathered(batches, 2, SLICE):
             numbers: dict[tuple[str, str], int] = {}
             pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             group_of = pa.array([numbers.setdefault(pair, len(numbers)) for pair in pairs], pa.int32())

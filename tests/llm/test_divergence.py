@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,17 @@ def test_large_counts_stay_exact(spark):
     big = 10**12
     df = spark.range(1).select(F.lit(big).alias("n"), F.lit(3 * big).alias("total"))
     assert df.select(divergence._share("n", "total")).first()[0] == 1 + 10**9 * (big + 1) // (3 * big)
+
+
+def test_terms_are_counted_across_batches(spark, conf):
+    conf({"spark.sql.execution.arrow.maxRecordsPerBatch": 10})
+    rows = [("en", "ab"[i % 2], f"the house the sea {'x' * (i % 7)}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    want = Counter((lang, source, t) for lang, source, text in rows for t in text.split())
+    got = divergence.term_counts(docs, "lang", "source", "text").collect()
+    assert len(got) == len(want) and {(r["lang"], r["source"], r["term"]): r["n"] for r in got} == want
+    # a limit that cuts gives more rows and the same sums
+    pieces = list(divergence._gathered([pa.record_batch({"t": ["abc", None, "d" * 50, ""]})] * 3, 0, 60))
+    assert [len(p) for p in pieces] == [4, 4, 4] and sum(len(p) for p in pieces) == 12
+    assert len(list(divergence._gathered([pa.record_batch({"t": ["abc"]})] * 40, 0, 60))) == 2
+    assert list(divergence._gathered([], 0, 60)) == []
