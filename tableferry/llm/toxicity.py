@@ -534,7 +534,8 @@ def predict_toxicity(
     from the text, by profiles of the language operator; ``lang_col`` is what
     those are learned from, and no input of a score.
     """
-    languages = langid.learn_unheld(docs, id_col, text_col, lang_col)
+    # from every row, not from a sample
+    languages = langid.learn_unheld(docs, id_col, text_col, lang_col, fit_rows=float("inf"))
     classifier = learn(docs, labels, languages, id_col, text_col, label_col, **fit)
     found = with_toxicity(docs, text_col, classifier, languages)
     return found.withColumns({
