@@ -10,8 +10,10 @@ its own rows, from the network that all share, and Spark averages what they chan
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,19 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tableferry.llm import langid
+from tableferry.llm.slices import text_slices
 from tableferry.operators.keyfilter import key_filter
 
-BUCKETS = 1 << 18
+BUCKET_BITS = 18
+BUCKETS = 1 << BUCKET_BITS
+# characters hashed together, however long a text is, and bytes of text scored together
+PIECE = 1 << 17
+SCORED_BYTES = 1 << 19
+# a word's hash is a polynomial of its code points in BASE, modulo 2**64; MIX spreads it over the buckets
+BASE, MIX, WRAP = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, 1 << 64
+WORD, BETWEEN, END = 0, 1, 2
+# stands after each text; no code point is as large
+END_CODE = 0x110000
 WIDTHS = (1, 2, 3)
 # so that a window of every width can lie in a text's padding alone
 PAD = max(WIDTHS)
@@ -44,10 +56,66 @@ BINS = 1024
 LEAST_ROWS = 20
 
 
-def word_buckets(text: Column) -> Column:
-    """The hashed words of a text in order, letters and digits in lower case; none for null."""
-    words = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Whether each code point is part of a word: letters and digits are."""
+    kinds = [WORD if unicodedata.category(chr(c))[0] in "LN" else BETWEEN for c in range(END_CODE)]
+    return np.array([*kinds, END], dtype=np.uint8)
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """The powers of ``BASE`` and of its inverse, for every place in a piece."""
+    both = (np.full(2 * PIECE + 2, x, dtype=np.uint64) for x in (BASE, pow(BASE, -1, WRAP)))
+    up, down = (np.multiply.accumulate(np.r_[np.uint64(1), x[1:]]) for x in both)
+    return up, down
+
+
+def _pieces(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    """The code points of all texts in lower case, ``END_CODE`` after each, at most ``2 * PIECE + 1`` at a time."""
+    held, size, end = [], 0, END_CODE.to_bytes(4, "little")
+    for text in texts:
+        low = (text or "").lower()
+        for at in range(0, len(low), PIECE):
+            held.append(low[at : at + PIECE].encode("utf-32-le", "replace"))
+            size += len(held[-1]) // 4
+            if size >= PIECE:
+                yield np.frombuffer(b"".join(held), dtype="<u4")
+                held, size = [], 0
+        held.append(end)
+        size += 1
+    if held:
+        yield np.frombuffer(b"".join(held), dtype="<u4")
+
+
+def word_buckets(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed words of the texts one after the other, letters and digits in lower case, and how many each text has.
+
+    What lies between two words is one cut, so a text without a letter or digit
+    at an end has an empty word there; null counts as empty. Words are hashed
+    where the network runs, on arrays of code points: no object is made a word.
+    """
+    up, down = _powers()
+    # of the word that the last piece left open: its hash so far; and whether a cut was left open
+    ids, ends, done, open_hash, cutting = [], [], 0, 0, False
+    for codes in _pieces(texts):
+        kinds = _kinds()[codes]
+        between = kinds == BETWEEN
+        # a word ends where a cut begins, and with its text
+        at = np.flatnonzero((between & ~np.r_[cutting, between[:-1]]) | (kinds == END))
+        values = np.where(kinds == WORD, codes, 0).astype(np.uint64) * down[: len(codes)]
+        sums = np.r_[np.uint64(0), np.cumsum(values)]
+        before = np.r_[np.uint64(-open_hash % WRAP), sums[at]]
+        hashes = (before[1:] - before[:-1]) * up[at]
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(MIX)
+        ids.append((hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
+        ends.append(np.flatnonzero(kinds[at] == END) + done + 1)
+        done += len(at)
+        open_hash = (int(sums[-1]) - int(before[-1])) * int(up[len(codes)]) % WRAP
+        cutting = bool(between[-1])
+    if not ids:
+        return np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
+    return np.concatenate(ids), np.diff(np.concatenate(ends), prepend=0)
 
 
 def remainder(id_col: Column) -> Column:
@@ -344,13 +412,23 @@ def _dealt(texts: DataFrame, labelled: DataFrame, languages: langid.Profiles, pa
     may = key_filter(labelled.select(F.col("fit_id").cast("string").alias("key")), ["key"]).may_hold(F.col("id").cast("string"))
     wanted = texts.where(may).repartition(parts, "id")
     # columns made after the shuffle: the join then keeps its partitions, whatever spark.sql.shuffle.partitions says
-    wanted = wanted.select("id", "text", word_buckets(F.col("text")).alias("ids"), F.xxhash64(F.lit("row"), "id", "text").alias("order"))
+    wanted = wanted.select("id", "text", F.xxhash64(F.lit("row"), "id", "text").alias("order"))
     fit = _set_aside(labelled, texts, parts).hint("shuffle_hash")
     rows = wanted.join(fit, F.col("id") == F.col("fit_id"))
-    rows = rows.select("toxic", "ids", "aside", "order", F.when(F.col("aside"), F.col("text")).alias("text"))
-    rows = langid.with_language(rows, "text", languages, "lang_pred", "lang_score")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, 0, SCORED_BYTES):
+            texts, aside = part.column(0).to_pylist(), part.column(1).to_pylist()
+            langs = [languages.predict(t if a else None)[0] for t, a in zip(texts, aside)]
+            ids, lengths = word_buckets(texts)
+            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(ids))
+            found = [part.column(2), ids, part.column(1), pa.array(langs, pa.string()), part.column(3)]
+            yield pa.RecordBatch.from_arrays(found, ["toxic", "ids", "aside", "lang_pred", "order"])
+
+    rows = rows.select("text", "aside", "toxic", "order")
+    rows = rows.mapInArrow(run, "toxic int, ids array<int>, aside boolean, lang_pred string, order long")
     # for a single part, which a join spreads
-    return rows.coalesce(parts).sortWithinPartitions("order", "toxic").drop("text", "lang_score", "order")
+    return rows.coalesce(parts).sortWithinPartitions("order", "toxic").drop("order")
 
 
 def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, bool]]:
@@ -501,24 +579,19 @@ def with_toxicity(docs: DataFrame, text_col: str, classifier: Classifier, langua
         return kept.withColumn(score_col, F.lit(classifier.constant))
     net, thresholds, common = classifier.network, classifier.thresholds, classifier.common
     text_at = others.index(text_col)
-    # the name cannot clash: it is longer than any that the rows bring
-    told = kept.withColumn(f"{max(others, key=len)}_ids", word_buckets(F.col(f"`{text_col}`")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.answers()
-        for batch in batches:
-            for part in _text_slices(batch, len(others)):
-                words = part.column(len(others))
-                # both from one worker: a second one for the languages would hold the texts again
-                cuts = np.array([thresholds.get(languages.predict(t.as_py())[0], common) for t in part.column(text_at)])
-                flat = words.flatten().to_numpy(zero_copy_only=False)
-                logits = net.logits(flat, pc.list_value_length(words).to_numpy(zero_copy_only=False), tables) - cuts
-                scores = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(others)], pa.array(scores, pa.float64())], [*others, score_col])
-            pa.default_memory_pool().release_unused()
+        for part in text_slices(batches, text_at, SCORED_BYTES):
+            texts = part.column(text_at).to_pylist()
+            # both from one worker: a second one for the languages would hold the texts again
+            cuts = np.array([thresholds.get(languages.predict(t)[0], common) for t in texts])
+            logits = net.logits(*word_buckets(texts), tables) - cuts
+            scores = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*others, score_col])
 
     fields = [kept.schema[c] for c in others] + [T.StructField(score_col, T.DoubleType())]
-    return told.mapInArrow(run, T.StructType(fields))
+    return kept.mapInArrow(run, T.StructType(fields))
 
 
 def predict_toxicity(

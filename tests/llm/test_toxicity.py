@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 from pathlib import Path
 
@@ -107,6 +108,53 @@ def test_parts_train_one_network_whatever_the_session(spark, docs_of, prose, con
         assert sum(got[i][1] == toxic[i] for i in unseen) >= 0.95 * len(unseen)
 
 
+def plain_buckets(text):
+    """Every word of one text, character by character."""
+    words, cut = [""], False
+    for c in (text or "").lower():
+        part = unicodedata.category(c)[0] in "LN"
+        if part:
+            words[-1] += c
+        elif not cut:
+            words.append("")
+        cut = not part
+    found = []
+    for word in words:
+        h = 0
+        for c in word:
+            h = (h + ord(c)) * toxicity.BASE % toxicity.WRAP
+        found.append(((h ^ h >> 32) * toxicity.MIX % toxicity.WRAP) >> (64 - toxicity.BUCKET_BITS))
+    return found
+
+
+def test_words_against_plain_loops(monkeypatch):
+    rng = random.Random(1)
+    texts = [None, "", " ", " a", "a ", "...", "É1 ß 中文字 𝔘x", "x" * 500, "the-house  of", ""]
+    texts += ["".join(rng.choice("abC1É 中.,-𝔘\n") for _ in range(rng.randrange(60))) for _ in range(200)]
+    want = [plain_buckets(t) for t in texts]
+    for piece in (toxicity.PIECE, 64, 7, 1):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        toxicity._powers.cache_clear()
+        ids, lengths = toxicity.word_buckets(texts)
+        assert lengths.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [x for w in want for x in w]
+    toxicity._powers.cache_clear()
+    assert [len(x) for x in toxicity.word_buckets([])] == [0, 0]
+
+
+def test_no_word_becomes_an_object_of_the_executor(spark, docs_of, prose):
+    """Arrays of words there filled an executor's heap; words are cut and hashed in the tasks that use them."""
+    rows, toxic = corpus(prose, 100)
+    docs, nothing = docs_of(rows), langid.Profiles({}, 400)
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    dealt = toxicity._dealt(texts, toxicity._labelled(labels_of(spark, toxic), "doc_id", "toxic"), nothing, 2)
+    net = toxicity.train([np.array([1, 2]), np.array([3])], np.array([True, False]), epochs=1, least=1)
+    scored = toxicity.with_toxicity(docs, "text", toxicity.Classifier(0.0, net, {}), nothing)
+    for made in (dealt, scored):
+        plan = made._jdf.queryExecution().toString()
+        assert "MapInArrow" in plan and "split(" not in plan and "transform(" not in plan
+
+
 def test_binned_threshold_is_the_plain_one(spark, prose):
     rng = np.random.default_rng(4)
     texts = [rng.integers(0, 50, rng.integers(1, 40)) for _ in range(200)]
