@@ -15,6 +15,7 @@ import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,11 @@ from tableferry.llm.slices import text_slices
 
 NONE = np.int32(2**31 - 1)
 # Words whose ids a worker keeps.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 100_000
 # Bytes of text whose new words share one replay: a replay steps through the ranks, however few its words.
-REPLAY_BYTES = 8 << 20
+REPLAY_BYTES = 2 << 20
+# Slices or pairs looked up at a time: what a lookup takes besides its result is a few times 8 bytes for each.
+BLOCK = 1 << 15
 
 
 def _sorted_once(values: np.ndarray) -> np.ndarray:
@@ -76,23 +79,27 @@ class MergeTable:
         ends = np.cumsum(sizes)
         token = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
         n = len(token)
-        after = np.arange(1, n + 1, dtype=np.int64)
+        places = np.int32 if n < NONE else np.int64
+        after = np.arange(1, n + 1, dtype=places)
         after[ends - 1] = -1
-        before = np.arange(-1, n - 1, dtype=np.int64)
+        before = np.arange(-1, n - 1, dtype=places)
         before[ends - sizes] = -1
         # what the pair that starts at a position merges into
         becomes = np.full(n, NONE, dtype=np.int32)
-        pairs = np.flatnonzero(after >= 0)
-        becomes[pairs] = self.merged(token[pairs], token[pairs + 1])
+        for start in range(0, n, BLOCK):
+            right = token[start + 1 : start + 1 + BLOCK]
+            becomes[start : start + len(right)] = self.merged(token[start : start + len(right)], right)
+        becomes[ends - 1] = NONE
         index: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
 
         def add(positions: np.ndarray, ranks: np.ndarray) -> None:
             """Post positions under their merge; one entry for a position named twice."""
             entries = _sorted_once(ranks.astype(np.int64) * n + positions)
-            ranks = entries // n
-            cuts = np.flatnonzero(np.diff(ranks)) + 1
-            for rank, posted in zip(ranks[np.r_[0, cuts]].tolist(), np.split(entries - ranks * n, cuts)):
+            ranks = (entries // n).astype(np.int32)
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            entries %= n
+            for rank, posted in zip(ranks[np.r_[0, cuts]].tolist(), np.split(entries.astype(places), cuts)):
                 if rank in index:
                     index[rank].append(posted)
                 else:
@@ -182,28 +189,43 @@ class _Numbers(dict):
 def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The slices of ``values`` that begin at ``starts``, one after the other."""
     ends = np.cumsum(sizes)
-    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    out = np.empty(ends[-1] if len(ends) else 0, dtype=values.dtype)
+    for at in range(0, len(ends), BLOCK):
+        size, end = sizes[at : at + BLOCK], ends[at : at + BLOCK]
+        shift = starts[at : at + BLOCK] - (end - size)
+        first, last = end[0] - size[0], end[-1]
+        out[first:last] = values[np.repeat(shift, size) + np.arange(first, last)]
+    return out
 
 
 class Encoder:
     """Encodes texts; keeps the ids of words it has met, up to a bound.
 
-    Once half the bound is known, what is known becomes the older store: words
-    that come again move on to the new one, the others go with the next change.
+    Once half the bound is known, the words of these met more than once become
+    the older store. Those of it that come again move on to the new one, the
+    others go with the next change.
     """
 
     def __init__(self, table: MergeTable, pattern: str):
         self.table, self.split = table, Splitter(pattern)
-        self._turn()
+        self._begin()
         self._turn()
 
-    def _turn(self) -> None:
-        """Make the words known the older store and begin a new one."""
-        if hasattr(self, "numbers"):
-            self.older, self.older_ids, self.older_sizes = self.numbers, self.ids, self.sizes
+    def _begin(self) -> None:
+        """A new store."""
         self.numbers = _Numbers()
         self.ids = np.empty(0, dtype=np.int32)
         self.sizes = np.empty(0, dtype=np.int64)
+        # how often each word was met; one that moved on, once more
+        self.met = np.empty(0, dtype=np.int64)
+
+    def _turn(self) -> None:
+        """Make the words met more than once the older store and begin a new one."""
+        again = self.met > 1
+        self.older = {w: i for i, w in enumerate(compress(self.numbers, again))}
+        self.older_sizes = self.sizes[again]
+        self.older_ids = gather(self.ids, (np.cumsum(self.sizes) - self.sizes)[again], self.older_sizes)
+        self._begin()
 
     def _learn(self) -> None:
         """Find the ids of the words new in this store: in the older one, or by replaying the merges."""
@@ -231,6 +253,7 @@ class Encoder:
         if len(merged):
             flat[kind == 2] = ids
         self.ids, self.sizes = np.concatenate([self.ids, flat]), np.concatenate([self.sizes, sizes])
+        self.met = np.concatenate([self.met, at >= 0])
 
     def encode_lists(self, lists: Iterable[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each list of texts the ids of all in a row, and how many each has; one replay serves all lists."""
@@ -239,6 +262,8 @@ class Encoder:
         number = self.numbers.__getitem__
         numbered = [[np.fromiter(map(number, self.split(t)), dtype=np.int32) for t in texts] for texts in lists]
         self._learn()
+        for numbers in chain.from_iterable(numbered):
+            np.add.at(self.met, numbers, 1)
         ends = np.cumsum(self.sizes)
         for words in numbered:
             counts = [int(self.sizes[w].sum()) for w in words]

@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -69,6 +71,37 @@ def test_frequent_words_are_replayed_once(library, monkeypatch):
     assert len(replayed) > 200
 
 
+def test_the_store_drops_words_met_once(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 60)
+    encoder, rng = bpe.Encoder(bpe._table(VOCABULARY), P.PATTERN), random.Random(7)
+    for _ in range(5):
+        text = " often often" + "".join(" " + "".join(rng.choices("bcdfgjkqxz", k=9)) for _ in range(500))
+        assert encoder.encode([text])[0].tolist() == library.encode_ordinary(text)
+    assert " often" in encoder.older and len(encoder.older) < 10
+
+
+def test_lookups_take_little_besides_their_result():
+    table = bpe._table(VOCABULARY)
+    ids = np.array([i for i, token in table.tokens.items() if len(token) > 9] * 200)
+    tracemalloc.start()
+    data, ends = table.decode(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert data.tobytes() == b"".join(table.tokens[i] for i in ids.tolist()) and ends[-1] == len(data)
+    assert len(data) > 4 << 20 and peak < 12 * len(data)
+
+
+def test_lookups_in_small_blocks(library, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 7)
+    texts = [t or "" for t in ODD if len(t or "") < 100] + mixed(8, 100)
+    encoder = bpe.Encoder(bpe._table(VOCABULARY), P.PATTERN)
+    ids, counts = encoder.encode(texts)
+    assert ids.tolist() == [i for t in texts for i in library.encode_ordinary(t)]
+    assert encoder.table.decode(ids)[0].tobytes() == "".join(texts).encode()
+    sizes = np.array([0, 3, 0, 0, 2, 5, 0, 1, 0, 0])
+    assert bpe.gather(np.arange(20), np.arange(10), sizes).tolist() == [1, 2, 3, 4, 5, 5, 6, 7, 8, 9, 7]
+
+
 def test_texts_share_a_replay_across_slices(docs_of, library, monkeypatch):
     monkeypatch.setattr(bpe, "REPLAY_BYTES", 2000)
     texts = ODD + mixed(5, 300) + [None] * 5
